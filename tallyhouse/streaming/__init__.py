@@ -1,0 +1 @@
+"""Kept empty on purpose: the workload is finite batches, so there is no streaming operator."""
