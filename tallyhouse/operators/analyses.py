@@ -15,6 +15,18 @@ from tallyhouse.functions.time import days_late, month_distance, month_start
 from tallyhouse.operators import stages as S
 
 
+def _facts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Order facts, taken from the tables where a run has stored them."""
+    if "order_facts" in t:
+        return t["order_facts"]
+    return S.order_facts(t["orders"], t["order_items"], t["order_reviews"])
+
+
+def _reviews(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Mean review per order, taken from the tables where a run has stored it."""
+    return t["review_by_order"] if "review_by_order" in t else S.review_by_order(t["order_reviews"])
+
+
 def executive_summary(t: Mapping[str, DataFrame]) -> DataFrame:
     """One row for the whole data set.
 
@@ -36,7 +48,7 @@ def executive_summary(t: Mapping[str, DataFrame]) -> DataFrame:
         "reviewed_orders",
         "low_reviews",
     ]
-    facts = S.order_facts(t["orders"], t["order_items"], t["order_reviews"])
+    facts = _facts(t)
     facts = facts.withColumn("item_revenue", F.coalesce("item_revenue", F.lit(0).cast("decimal(24,2)")))
     per_id = facts.groupBy("customer_id").agg(*M.order_partials(*names))
     persons = (
@@ -73,7 +85,7 @@ def executive_summary(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def monthly_performance(t: Mapping[str, DataFrame]) -> DataFrame:
     """One row per purchase month, every order status."""
-    facts = S.order_facts(t["orders"], t["order_items"], t["order_reviews"]).select(
+    facts = _facts(t).select(
         "*", month_start("order_purchase_timestamp").alias("order_month")
     )
     facts = facts.withColumn("item_revenue", F.coalesce("item_revenue", F.lit(0).cast("decimal(24,2)")))
@@ -107,7 +119,7 @@ def monthly_performance(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def category_performance(t: Mapping[str, DataFrame]) -> DataFrame:
     """One row per category over delivered orders; an order counts once in each category it holds."""
-    grain = S.category_order(t["order_items"], t["orders"], t["products"], t["order_reviews"])
+    grain = S.category_order(t["order_items"], t["orders"], t["products"], _reviews(t))
     totals = grain.groupBy("category_name").agg(
         F.count("*").alias("delivered_orders"),
         F.sum("item_count").alias("items_sold"),
@@ -138,7 +150,7 @@ def state_performance(t: Mapping[str, DataFrame]) -> DataFrame:
         "review_total",
         "reviewed_orders",
     ]
-    facts = S.order_facts(t["orders"], t["order_items"], t["order_reviews"])
+    facts = _facts(t)
     per_id = facts.groupBy("customer_id").agg(*M.order_partials(*names))
     states = (
         per_id.join(t["customers"].select("customer_id", "customer_state"), "customer_id")
@@ -199,7 +211,7 @@ TIMING_BANDS = (
 
 def delivery_review_relationship(t: Mapping[str, DataFrame]) -> DataFrame:
     """One row per timing band of the delivered orders that have both dates."""
-    dated = S.delivered_orders_reviewed(t["orders"], t["order_reviews"]).filter(
+    dated = S.delivered_orders_reviewed(t["orders"], _reviews(t)).filter(
         F.col("order_delivered_customer_date").isNotNull() & F.col("order_estimated_delivery_date").isNotNull()
     )
     delay = F.col("delay_days")
@@ -275,7 +287,7 @@ def monthly_customer_cohorts(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def seller_scorecard(t: Mapping[str, DataFrame]) -> DataFrame:
     """One row per seller with a delivered order; undated deliveries count as late here."""
-    grain = S.seller_order(t["order_items"], t["orders"], t["order_reviews"])
+    grain = S.seller_order(t["order_items"], t["orders"], _reviews(t))
     totals = grain.groupBy("seller_id").agg(
         F.count("*").alias("delivered_orders"),
         F.sum("item_revenue").alias("revenue"),

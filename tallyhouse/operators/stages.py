@@ -67,16 +67,16 @@ def delivered_customer_orders(orders: DataFrame, customers: DataFrame) -> DataFr
     )
 
 
-def delivered_orders_reviewed(orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Delivered orders with their mean review."""
+def delivered_orders_reviewed(orders: DataFrame, order_reviews: DataFrame) -> DataFrame:
+    """Delivered orders with their mean review, given per order."""
     return (
         orders.filter(is_delivered())
         .select("order_id", "order_delivered_customer_date", "order_estimated_delivery_date")
-        .join(review_by_order(reviews), "order_id", "left")
+        .join(order_reviews, "order_id", "left")
     )
 
 
-def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
+def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, order_reviews: DataFrame) -> DataFrame:
     """Per (category, delivered order): item count, revenue, freight and the order's mean review.
 
     Items shrink to (order, product) first; the review joins on the partitioning the order join needs anyway.
@@ -86,7 +86,7 @@ def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, rev
         F.sum("price").alias("item_revenue"),
         F.sum("freight_value").alias("freight_revenue"),
     )
-    delivered = delivered_orders_reviewed(orders, reviews).select("order_id", "average_review_score")
+    delivered = delivered_orders_reviewed(orders, order_reviews).select("order_id", "average_review_score")
     categories = products.select("product_id", F.col("product_category_name_english").alias("category_name"))
     return (
         lines.join(delivered, "order_id")
@@ -101,7 +101,7 @@ def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, rev
     )
 
 
-def seller_order(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
+def seller_order(items: DataFrame, orders: DataFrame, order_reviews: DataFrame) -> DataFrame:
     """Per (seller, delivered order): revenue, freight, on time or not, and the order's mean review.
 
     Both dates belong to the order, so the reduced item rows are at the final grain already.
@@ -109,7 +109,7 @@ def seller_order(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> Dat
     lines = items.groupBy("order_id", "seller_id").agg(
         F.sum("price").alias("item_revenue"), F.sum("freight_value").alias("freight_revenue")
     )
-    delivered = delivered_orders_reviewed(orders, reviews).select(
+    delivered = delivered_orders_reviewed(orders, order_reviews).select(
         "order_id", "average_review_score", F.coalesce(on_time(), F.lit(False)).alias("delivered_on_time")
     )
     return lines.join(delivered, "order_id").select(

@@ -186,7 +186,7 @@ VIEWS = {
         FROM {pl_payments}""",
     "raw_reviews": """
         SELECT review_id, order_id, CAST(review_score AS STRING) AS review_score,
-               concat(' ', review_comment_title) AS review_comment_title,
+               ' ' || review_comment_title AS review_comment_title,
                CASE WHEN review_comment_message = 'message R' THEN '   ' ELSE review_comment_message END
                    AS review_comment_message,
                CAST(review_creation_date AS STRING) AS review_creation_date,
@@ -195,7 +195,7 @@ VIEWS = {
         FROM {pl_reviews}""",
     "raw_products": """
         SELECT product_id,
-               CASE WHEN CAST(product_id AS BIGINT) % 6 = 0 THEN concat(product_category_name, '  ')
+               CASE WHEN CAST(product_id AS BIGINT) % 6 = 0 THEN product_category_name || '  '
                     ELSE product_category_name END AS product_category_name,
                CAST(product_name_lenght AS STRING) AS product_name_lenght,
                CAST(product_description_lenght AS STRING) AS product_description_lenght,
@@ -219,6 +219,49 @@ VIEWS = {
                CAST(CAST(geolocation_lng AS DECIMAL(9,4)) AS STRING) AS geolocation_lng,
                concat(geolocation_city, ' ') AS geolocation_city, geolocation_state
         FROM {mk_geo}""",
+    # Source files as text that pass every gate.
+    "gd_customers": """
+        SELECT customer_id, customer_unique_id, CAST(customer_zip_code_prefix AS STRING) AS customer_zip_code_prefix,
+               concat(' ', customer_city) AS customer_city,
+               concat('S', substr(customer_state, 1, 1)) AS customer_state
+        FROM {mk_customers}""",
+    "gd_orders": """
+        SELECT order_id, customer_id, concat(' ', upper(order_status)) AS order_status,
+               CAST(order_purchase_timestamp AS STRING) AS order_purchase_timestamp,
+               CAST(order_approved_at AS STRING) AS order_approved_at,
+               CAST(order_delivered_carrier_date AS STRING) AS order_delivered_carrier_date,
+               CAST(order_delivered_customer_date AS STRING) AS order_delivered_customer_date,
+               CAST(order_estimated_delivery_date AS STRING) AS order_estimated_delivery_date
+        FROM {mk_orders}""",
+    "gd_items": """
+        SELECT order_id, CAST(order_item_id AS STRING) AS order_item_id, product_id, seller_id,
+               CAST(shipping_limit_date AS STRING) AS shipping_limit_date, CAST(price AS STRING) AS price,
+               CAST(freight_value AS STRING) AS freight_value
+        FROM {mk_unique_items}""",
+    "gd_payments": """
+        SELECT order_id, CAST(payment_sequential AS STRING) AS payment_sequential, payment_type,
+               CAST(payment_installments AS STRING) AS payment_installments,
+               CAST(payment_value AS STRING) AS payment_value
+        FROM {mk_payments}""",
+    "gd_reviews": """
+        SELECT review_id, order_id, CAST(review_score AS STRING) AS review_score, review_comment_title,
+               CASE WHEN review_score = 1 THEN 'said "no",' || chr(10) || 'then left' ELSE review_comment_message END
+                   AS review_comment_message,
+               CAST(review_creation_date AS STRING) AS review_creation_date,
+               CAST(review_answer_timestamp AS STRING) AS review_answer_timestamp
+        FROM {mk_reviews}""",
+    "gd_sellers": """
+        SELECT seller_id, CAST(seller_zip_code_prefix AS STRING) AS seller_zip_code_prefix, seller_city,
+               concat('S', substr(seller_state, 1, 1)) AS seller_state
+        FROM {mk_sellers}""",
+    # Payments whose integers are partly broken.
+    "raw_integers": """
+        SELECT order_id, payment_type, CAST(payment_value AS STRING) AS payment_value,
+               CASE WHEN CAST(order_id AS BIGINT) % 17 = 0 THEN '2.5' WHEN CAST(order_id AS BIGINT) % 19 = 0 THEN '1.0'
+                    ELSE CAST(payment_installments AS STRING) END AS payment_installments,
+               CASE WHEN CAST(order_id AS BIGINT) % 23 = 0 THEN 'first'
+                    ELSE CAST(payment_sequential AS STRING) END AS payment_sequential
+        FROM {mk_payments}""",
     # Text of one type per column, for type inference.
     "raw_typed": """
         SELECT CAST(o_orderkey AS STRING) AS order_id, CAST(o_totalprice > 100000 AS STRING) AS is_large,
@@ -298,6 +341,19 @@ class Testbed:
         return {table: self[view] for table, view in {**names, **replaced}.items()}
 
 
+GOOD_SOURCES = {
+    "customers": "gd_customers",
+    "geolocation": "raw_geo",
+    "orders": "gd_orders",
+    "order_items": "gd_items",
+    "order_payments": "gd_payments",
+    "order_reviews": "gd_reviews",
+    "products": "raw_products",
+    "sellers": "gd_sellers",
+    "product_category_name_translation": "raw_translation",
+}
+
+
 def with_views(sql: str, views: dict[str, str] | None = None) -> str:
     """Expand ``{view}`` names of a SQL text into common table expressions over the plain tables."""
     known = {**VIEWS, **(views or {})}
