@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import sql
+
 
 def round_rate(value: Column) -> Column:
     """Two decimals, half away from zero, as double."""
@@ -30,7 +32,6 @@ def rate_pct(numerator: Column, denominator: Column) -> Column:
     return round_rate(F.lit(100.0) * numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0)))
 
 
-def report_percent(numerator: Column, denominator: Column, empty: float = 0.0) -> Column:
+def report_percent(numerator: str, denominator: str, empty: float = 0.0) -> Column:
     """100 * numerator / denominator, four decimals half to even; ``empty`` where nothing was counted."""
-    share = numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0)) * 100
-    return F.coalesce(F.bround(share.cast("decimal(28,12)"), 4).cast("double"), F.lit(empty))
+    return F.expr(sql.percent(numerator, denominator, empty))

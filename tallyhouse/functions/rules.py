@@ -5,26 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.functions import sql
 
-def unpivot_row(row: DataFrame, records: Iterable[Mapping[str, Column]]) -> DataFrame:
-    """Turn a one-row frame into one row per record; all records carry the same names."""
-    structs = [F.struct(*[value.alias(name) for name, value in record.items()]) for record in records]
-    return row.select(F.inline(F.array(*structs)))
 
+def unpivot_row(row: DataFrame, records: Iterable[Mapping[str, str]]) -> DataFrame:
+    """Turn a one-row frame into one row per record of SQL expressions; all records carry the same names."""
+    structs = [
+        "named_struct(" + ", ".join(f"{sql.literal(name)}, {value}" for name, value in record.items()) + ")"
+        for record in records
+    ]
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
-def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+
+def violation_counts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """(check_name, violation_count) for all rules of one table in a single pass.
 
     A rule that is null on a row does not count.
     """
     names = list(rules)
-    row = df.agg(*[F.count_if(rules[name]).alias(f"v{i}") for i, name in enumerate(names)])
+    row = df.selectExpr(*[f"count_if({rules[name]}) AS v{i}" for i, name in enumerate(names)])
     return unpivot_row(
         row,
-        [{"check_name": F.lit(name), "violation_count": F.col(f"v{i}")} for i, name in enumerate(names)],
+        [{"check_name": sql.literal(name), "violation_count": f"v{i}"} for i, name in enumerate(names)],
     )
 
 
@@ -33,4 +37,5 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    fields = (part.split() for part in schema.split(","))
+    return spark.range(0).selectExpr(*[f"CAST(NULL AS {kind}) AS {sql.name(field)}" for field, kind in fields])

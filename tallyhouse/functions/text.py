@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.functions import sql
+
 # The characters counted as white space around a text value.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
@@ -36,9 +38,14 @@ MISSING_TOKENS = (
 )
 
 
-def stripped(column: Column | str) -> Column:
-    """Surrounding white space (Unicode included) removed, blank text turned into null."""
-    return F.nullif(F.btrim(F.col(column) if isinstance(column, str) else column, F.lit(WHITE_SPACE)), F.lit(""))
+def stripped_sql(text: str) -> str:
+    """SQL text: surrounding white space (Unicode included) removed, blank text turned into null."""
+    return f"nullif(btrim({text}, {sql.literal(WHITE_SPACE)}), '')"
+
+
+def stripped(column: str) -> Column:
+    """A text column stripped; blank becomes null."""
+    return F.expr(stripped_sql(sql.name(column)))
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -57,6 +64,8 @@ def strip_text(df: DataFrame) -> DataFrame:
 
 def missing_tokens_to_null(df: DataFrame) -> DataFrame:
     """Fields of a raw CSV that hold a missing-value token become null."""
+    tokens = ", ".join(sql.literal(token) for token in MISSING_TOKENS)
     return replace_columns(
-        df, {name: F.when(~F.col(name).isin(*MISSING_TOKENS), F.col(name)) for name in text_columns(df)}
+        df,
+        {c: F.expr(f"CASE WHEN {sql.name(c)} NOT IN ({tokens}) THEN {sql.name(c)} END") for c in text_columns(df)},
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import sql
+
 # Accepted timestamp layouts: date, or date and time with optional fraction.
 TIMESTAMP_LAYOUT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
 
@@ -13,10 +15,14 @@ def _column(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def parse_timestamp(column: Column | str) -> Column:
-    """A text as TIMESTAMP_NTZ, null where it does not follow the layout or is no real date."""
-    text = _column(column)
-    return F.when(text.rlike(TIMESTAMP_LAYOUT), text.try_cast("timestamp_ntz"))
+def parse_timestamp_sql(text: str) -> str:
+    """SQL text: a text as TIMESTAMP_NTZ, null where it does not follow the layout or is no real date."""
+    return f"CASE WHEN {text} RLIKE {sql.literal(TIMESTAMP_LAYOUT)} THEN try_cast({text} AS timestamp_ntz) END"
+
+
+def parse_timestamp(column: str) -> Column:
+    """A text column as TIMESTAMP_NTZ."""
+    return F.expr(parse_timestamp_sql(sql.name(column)))
 
 
 def month_start(column: Column | str) -> Column:

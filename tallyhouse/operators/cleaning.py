@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.contracts import INTEGER, MARKETPLACE, MONEY, NUMBER, SEQUENCE_FLAGS, TIMESTAMP, ContractSet
+from tallyhouse.functions import sql
 from tallyhouse.functions.rules import unpivot_row
 from tallyhouse.functions.text import replace_columns, strip_text, stripped
 from tallyhouse.functions.time import parse_timestamp
@@ -37,13 +38,13 @@ def _require(df: DataFrame, columns: Iterable[str], label: str, kind: str) -> No
 
 def numeric_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, invalid_values): populated values that are no number, for all columns in one pass."""
-    counters = [
-        F.count_if(F.col(column).isNotNull() & F.col(column).try_cast("double").isNull()).alias(f"v{i}")
-        for i, column in enumerate(columns)
-    ]
+    counters = []
+    for i, column in enumerate(columns):
+        value = sql.name(column)
+        counters.append(f"count_if({value} IS NOT NULL AND try_cast({value} AS double) IS NULL) AS v{i}")
     return unpivot_row(
-        df.agg(*counters),
-        [{"column_name": F.lit(c), "invalid_values": F.col(f"v{i}")} for i, c in enumerate(columns)],
+        df.selectExpr(*counters),
+        [{"column_name": sql.literal(c), "invalid_values": f"v{i}"} for i, c in enumerate(columns)],
     )
 
 

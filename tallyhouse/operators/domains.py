@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.contracts import (
-    FLAG,
     INTEGER,
     MARKETPLACE,
     SPARK_TYPES,
@@ -20,8 +20,9 @@ from tallyhouse.contracts import (
     declared_row_rules,
     domain_rules,
 )
+from tallyhouse.functions import sql
 from tallyhouse.functions.rules import union_all, unpivot_row, violation_counts
-from tallyhouse.functions.time import parse_timestamp
+from tallyhouse.functions.time import parse_timestamp_sql
 from tallyhouse.operators.quality import key_statistics, orphan_counts
 
 SCHEMA = "marketplace"
@@ -64,48 +65,50 @@ def rules_like(pattern: str, contracts: ContractSet = MARKETPLACE) -> list[RowRu
     return [r for r in domain_rules(contracts) if r.check_name.startswith(start) and r.check_name.endswith(end)]
 
 
-def _timestamp(df: DataFrame, column: str) -> Column:
-    return parse_timestamp(column) if dict(df.dtypes)[column] == "string" else F.col(column).cast("timestamp_ntz")
+def _timestamp_sql(df: DataFrame, column: str) -> str:
+    value = sql.name(column)
+    text = isinstance(df.schema[column].dataType, T.StringType)
+    return f"({parse_timestamp_sql(value)})" if text else f"CAST({value} AS timestamp_ntz)"
 
 
 def type_violations(df: DataFrame, table: ModelTable) -> DataFrame:
     """(column_name, kind, invalid_values, non_integral_values) for all typed columns in one pass."""
     counters, records = [], []
     for i, column in enumerate(table.of_kind(TIMESTAMP, INTEGER)):
-        kind = table.columns[column]
-        populated = F.col(column).isNotNull()
+        kind, value = table.columns[column], sql.name(column)
         if kind == TIMESTAMP:
-            invalid, broken = populated & _timestamp(df, column).isNull(), F.lit(False)
+            typed, broken = _timestamp_sql(df, column), "false"
         else:
-            number = F.col(column).try_cast("double")
-            invalid, broken = populated & number.isNull(), number % 1 != 0
-        counters += [F.count_if(invalid).alias(f"i{i}"), F.count_if(broken).alias(f"b{i}")]
+            typed = f"try_cast({value} AS double)"
+            broken = f"{typed} % 1 <> 0"
+        counters += [
+            f"count_if({value} IS NOT NULL AND {typed} IS NULL) AS i{i}",
+            f"count_if({broken}) AS b{i}",
+        ]
         records.append(
             {
-                "column_name": F.lit(column),
-                "kind": F.lit(kind),
-                "invalid_values": F.col(f"i{i}"),
-                "non_integral_values": F.col(f"b{i}"),
+                "column_name": sql.literal(column),
+                "kind": sql.literal(kind),
+                "invalid_values": f"i{i}",
+                "non_integral_values": f"b{i}",
             }
         )
-    return unpivot_row(df.agg(*counters), records)
+    return unpivot_row(df.selectExpr(*counters), records)
 
 
 def typed_table(df: DataFrame, table: ModelTable) -> DataFrame:
     """Columns in contract order with the published types."""
     columns = []
     for column, kind in table.columns.items():
-        source = F.col(column)
+        value = sql.name(column)
         if kind == TIMESTAMP:
-            source = _timestamp(df, column)
+            typed = _timestamp_sql(df, column)
         elif kind == INTEGER:
-            source = source.cast("double").cast("int")
-        elif kind == FLAG:
-            source = source.cast("boolean")
+            typed = f"CAST(CAST({value} AS double) AS int)"
         else:
-            source = source.cast(SPARK_TYPES[kind])
-        columns.append(source.alias(column))
-    return df.select(*columns)
+            typed = f"CAST({value} AS {SPARK_TYPES[kind]})"
+        columns.append(f"{typed} AS {value}")
+    return df.selectExpr(*columns)
 
 
 def prepare_processed_table(df: DataFrame, table: ModelTable, label: str | None = None) -> DataFrame:
@@ -126,11 +129,11 @@ def prepare_processed_table(df: DataFrame, table: ModelTable, label: str | None
 
 
 def _report(counts: DataFrame, table: str) -> DataFrame:
-    return counts.select(
+    return counts.selectExpr(
         "check_name",
-        F.lit(f"{SCHEMA}.{table}").alias("table_name"),
+        f"'{SCHEMA}.{table}' AS table_name",
         "violation_count",
-        F.when(F.col("violation_count") == 0, "passed").otherwise("failed").alias("status"),
+        "if(violation_count = 0, 'passed', 'failed') AS status",
     )
 
 
@@ -139,10 +142,10 @@ def row_rule_report(tables: Tables, rules: Iterable[RowRule]) -> DataFrame:
 
     An absent table is skipped; a rule on an absent column of a present table fails in analysis.
     """
-    by_table: dict[str, dict[str, Column]] = {}
+    by_table: dict[str, dict[str, str]] = {}
     for rule in rules:
         if rule.table in tables:
-            by_table.setdefault(rule.table, {})[rule.check_name] = F.expr(rule.violation)
+            by_table.setdefault(rule.table, {})[rule.check_name] = rule.violation
     return union_all(_report(violation_counts(tables[name], checks), name) for name, checks in by_table.items())
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import sql
 from tallyhouse.functions.rounding import rate_pct
 from tallyhouse.functions.rules import unpivot_row
 from tallyhouse.operators.profile import Audit, column_quality, overview, timestamp_issues
@@ -16,17 +17,20 @@ from tallyhouse.operators.profile import Audit, column_quality, overview, timest
 CORE_WINDOW = (date(2017, 1, 1), date(2018, 8, 1))
 
 
-def _number(column: str, digits: int = 0) -> Column:
-    return F.format_number(F.col(column), digits)
+def _number(column: str, digits: int = 0) -> str:
+    return f"format_number({column}, {digits})"
 
 
 def kpi_cards(summary: DataFrame, currency: str = "R$") -> DataFrame:
     """The executive summary as (position, metric, value) with formatted texts."""
-    money = lambda column: F.concat(F.lit(currency), _number(column, 2))
-    percent = lambda column: F.concat(_number(column, 2), F.lit("%"))
-    period = F.concat(
-        F.col("first_order_date").cast("string"), F.lit(" to "), F.col("last_order_date").cast("string")
-    )
+
+    def money(column: str) -> str:
+        return f"concat({sql.literal(currency)}, {_number(column, 2)})"
+
+    def percent(column: str) -> str:
+        return f"concat({_number(column, 2)}, '%')"
+
+    period = "concat(CAST(first_order_date AS string), ' to ', CAST(last_order_date AS string))"
     # The card titles in their order.
     cards = [
         ("Observed period", period),
@@ -45,7 +49,7 @@ def kpi_cards(summary: DataFrame, currency: str = "R$") -> DataFrame:
     return unpivot_row(
         summary,
         [
-            {"position": F.lit(i), "metric": F.lit(title), "value": text}
+            {"position": str(i), "metric": sql.literal(title), "value": text}
             for i, (title, text) in enumerate(cards, start=1)
         ],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.rules import union_all, violation_counts
@@ -55,9 +55,9 @@ def unmatched_rows(
 def row_checks(tables: Tables, names: list[str] | None = None) -> DataFrame:
     """Row-level checks, one aggregate per table."""
     wanted = ROW_CHECKS if names is None else {name: ROW_CHECKS[name] for name in names}
-    by_table: dict[str, dict[str, Column]] = {}
+    by_table: dict[str, dict[str, str]] = {}
     for name, (table, condition) in wanted.items():
-        by_table.setdefault(table, {})[name] = F.expr(condition)
+        by_table.setdefault(table, {})[name] = condition
     return union_all(violation_counts(tables[table], rules) for table, rules in by_table.items())
 
 

@@ -6,7 +6,7 @@ A table is read by four aggregates at most; everything else is derived from thei
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tallyhouse.functions import sql
 from tallyhouse.functions.rounding import report_percent
 from tallyhouse.functions.rules import empty_frame, union_all, unpivot_row
-from tallyhouse.functions.text import stripped, text_columns
-from tallyhouse.functions.time import parse_timestamp
+from tallyhouse.functions.text import stripped_sql, text_columns
+from tallyhouse.functions.time import parse_timestamp_sql
 
 # Names that suggest a key or a timestamp.
 KEY_NAME = re.compile(r"(?:^id$|_id$)", re.IGNORECASE)
@@ -62,75 +63,61 @@ class Audit:
         return Audit(**stored)
 
 
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
-def timestamp_like(df: DataFrame) -> list[str]:
-    return [name for name in text_columns(df) if TIMESTAMP_NAME.search(name)]
-
-
 def column_statistics(df: DataFrame, label: str) -> DataFrame:
     """One row per column from a single aggregate over the table."""
     if not label.strip():
         raise ValueError("The table label must be a non-empty text.")
-    texts, stamps = set(text_columns(df)), set(timestamp_like(df))
-    counters = [F.count(F.lit(1)).alias("row_count")]
+    counters = ["count(1) AS row_count"]
     records = []
     for i, field in enumerate(df.schema.fields):
-        value = _quoted(field.name)
-        counters.append(F.count(value).alias(f"filled{i}"))
-        filled = F.col(f"filled{i}")
-        inferred = F.lit(field.dataType.simpleString())
-        if field.name in texts:
+        value, filled = sql.name(field.name), f"filled{i}"
+        counters.append(f"count({value}) AS {filled}")
+        inferred, stamps, broken = sql.literal(field.dataType.simpleString()), "CAST(NULL AS bigint)", "CAST(NULL AS bigint)"
+        if isinstance(field.dataType, T.StringType):
+            booleans = ", ".join(sql.literal(text) for text in BOOLEAN_TEXTS)
             counters += [
-                F.count_if(value.rlike(INTEGER_LAYOUT)).alias(f"integers{i}"),
-                F.count_if(value.rlike(NUMBER_LAYOUT)).alias(f"numbers{i}"),
-                F.count_if(value.isin(*BOOLEAN_TEXTS)).alias(f"booleans{i}"),
+                f"count_if({value} RLIKE {sql.literal(INTEGER_LAYOUT)}) AS integers{i}",
+                f"count_if({value} RLIKE {sql.literal(NUMBER_LAYOUT)}) AS numbers{i}",
+                f"count_if({value} IN ({booleans})) AS booleans{i}",
             ]
             inferred = (
-                F.when(filled == 0, "double")
-                .when(F.col(f"integers{i}") == filled, "bigint")
-                .when(F.col(f"numbers{i}") == filled, "double")
-                .when(F.col(f"booleans{i}") == filled, "boolean")
-                .otherwise("string")
+                f"CASE {filled} WHEN 0 THEN 'double' WHEN integers{i} THEN 'bigint' WHEN numbers{i} THEN 'double' "
+                f"WHEN booleans{i} THEN 'boolean' ELSE 'string' END"
             )
-        stamp_values = invalid = F.lit(None).cast("bigint")
-        if field.name in stamps:
-            text = stripped(value)
-            counters += [
-                F.count(text).alias(f"stamps{i}"),
-                F.count_if(text.isNotNull() & parse_timestamp(text).isNull()).alias(f"broken{i}"),
-            ]
-            stamp_values, invalid = F.col(f"stamps{i}"), F.col(f"broken{i}")
+            if TIMESTAMP_NAME.search(field.name):
+                text = stripped_sql(value)
+                counters += [
+                    f"count({text}) AS stamps{i}",
+                    f"count_if({text} IS NOT NULL AND ({parse_timestamp_sql(text)}) IS NULL) AS broken{i}",
+                ]
+                stamps, broken = f"stamps{i}", f"broken{i}"
         records.append(
             {
-                "file_name": F.lit(label),
-                "position": F.lit(i + 1),
-                "column_name": F.lit(field.name),
+                "file_name": sql.literal(label),
+                "position": str(i + 1),
+                "column_name": sql.literal(field.name),
                 "inferred_type": inferred,
-                "row_count": F.col("row_count"),
-                "missing_values": F.col("row_count") - filled,
-                "timestamp_values": stamp_values,
-                "invalid_timestamps": invalid,
+                "row_count": "row_count",
+                "missing_values": f"row_count - {filled}",
+                "timestamp_values": stamps,
+                "invalid_timestamps": broken,
             }
         )
-    return unpivot_row(df.agg(*counters), records)
+    return unpivot_row(df.selectExpr(*counters), records)
 
 
-def _row_digest(df: DataFrame) -> Column:
+def _row_digest_sql(df: DataFrame) -> str:
     """SHA-256 of all values; lengths and null marks keep different rows apart."""
     parts = []
     for field in df.schema.fields:
-        value = _quoted(field.name)
+        value = sql.name(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = value + F.lit(0.0).cast(field.dataType)
+            value = f"({value} + CAST(0 AS {field.dataType.simpleString()}))"
+        text = f"CAST({value} AS string)"
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            text = F.to_json(F.struct(value.alias("v")), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
-        else:
-            text = value.cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+            text = f"to_json(struct({value} AS v), map('timestampNTZFormat', 'yyyy-MM-dd HH:mm:ss.SSSSSS'))"
+        parts.append(f"coalesce(concat(length({text}), ':', {text}), 'n')")
+    return f"unhex(sha2(concat({', '.join(parts)}), 256))"
 
 
 def duplicate_rows(df: DataFrame, label: str) -> DataFrame:
@@ -144,36 +131,35 @@ def duplicate_rows(df: DataFrame, label: str) -> DataFrame:
         for f in df.schema.fields
     )
     if fixed_width and len(df.columns) * 8 <= NARROW_ROW:
-        groups = df.groupBy(*[_quoted(c) for c in df.columns]).agg(F.count("*").alias("n_rows"))
+        groups = df.groupBy(*[sql.name(c) for c in df.columns]).agg(F.count("*").alias("n_rows"))
     else:
-        groups = df.select(_row_digest(df).alias("digest")).groupBy("digest").agg(F.count("*").alias("n_rows"))
-    return groups.agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("duplicate_rows")).select(
-        F.lit(label).alias("file_name"), "duplicate_rows"
+        groups = df.selectExpr(f"{_row_digest_sql(df)} AS digest").groupBy("digest").agg(F.count("*").alias("n_rows"))
+    return groups.selectExpr(
+        f"{sql.literal(label)} AS file_name", "coalesce(sum(n_rows - 1), 0) AS duplicate_rows"
     )
 
 
+def _as_pairs(df: DataFrame, names: list[str], text: Callable[[str], str]) -> DataFrame:
+    """(column_name, value) rows of several columns."""
+    pairs = [f"named_struct('column_name', {sql.literal(n)}, 'value', {text(sql.name(n))})" for n in names]
+    return df.selectExpr(f"inline(array({', '.join(pairs)}))")
+
+
 def candidate_keys(df: DataFrame, label: str) -> DataFrame:
     """Columns named like an id that are never null and all distinct; none for an empty table.
 
     All such columns are counted in one grouped pass over (column, value).
     """
     names = [name for name in df.columns if KEY_NAME.search(name)]
-    schema = "file_name string, column_name string"
     if not names:
-        return empty_frame(df.sparkSession, schema)
-    values = df.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(n).alias("column_name"), _quoted(n).cast("string").alias("value")) for n in names]
-            )
-        )
-    )
+        return empty_frame(df.sparkSession, "file_name string, column_name string")
+    values = _as_pairs(df, names, lambda column: f"CAST({column} AS string)")
     groups = values.groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
     return (
         groups.groupBy("column_name")
-        .agg(F.max("n_rows").alias("most"), F.count_if(F.col("value").isNull()).alias("null_groups"))
-        .filter((F.col("most") == 1) & (F.col("null_groups") == 0))
-        .select(F.lit(label).alias("file_name"), "column_name")
+        .agg(F.expr("max(n_rows) AS most"), F.expr("count_if(value IS NULL) AS null_groups"))
+        .filter("most = 1 AND null_groups = 0")
+        .selectExpr(f"{sql.literal(label)} AS file_name", "column_name")
     )
 
 
@@ -184,22 +170,21 @@ def invalid_timestamp_examples(df: DataFrame, label: str, example_limit: int = E
     """
     if example_limit < 1:
         raise ValueError("example_limit must be at least 1.")
-    names = timestamp_like(df)
+    names = [name for name in text_columns(df) if TIMESTAMP_NAME.search(name)]
     if not names:
         return empty_frame(df.sparkSession, "file_name string, column_name string, invalid_examples string")
-    values = df.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(n).alias("column_name"), stripped(_quoted(n)).alias("value")) for n in names])
-        )
+    bad = (
+        _as_pairs(df, names, stripped_sql)
+        .filter(f"value IS NOT NULL AND ({parse_timestamp_sql('value')}) IS NULL")
+        .distinct()
     )
-    bad = values.filter(F.col("value").isNotNull() & parse_timestamp("value").isNull()).distinct()
     position = F.row_number().over(W.partitionBy("column_name").orderBy("value"))
     return (
         bad.withColumn("place", position)
         .filter(F.col("place") <= example_limit)
         .groupBy("column_name")
-        .agg(F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("invalid_examples"))
-        .select(F.lit(label).alias("file_name"), "column_name", "invalid_examples")
+        .agg(F.expr("array_join(array_sort(collect_list(value)), ' | ') AS invalid_examples"))
+        .selectExpr(f"{sql.literal(label)} AS file_name", "column_name", "invalid_examples")
     )
 
 
@@ -246,7 +231,7 @@ def timestamp_issues(audit: Audit) -> DataFrame:
         "column_name",
         F.col("timestamp_values").alias("non_null_values"),
         F.col("invalid_timestamps").alias("invalid_values"),
-        report_percent(F.col("invalid_timestamps"), F.col("timestamp_values")).alias("invalid_percent"),
+        report_percent("invalid_timestamps", "timestamp_values").alias("invalid_percent"),
         F.coalesce("invalid_examples", F.lit("")).alias("invalid_examples"),
     )
 
@@ -326,7 +311,7 @@ def column_quality(audit: Audit) -> DataFrame:
         "column_name",
         F.col("inferred_type").alias("inferred_dtype"),
         "missing_values",
-        report_percent(F.col("missing_values"), F.col("row_count")).alias("missing_percent"),
+        report_percent("missing_values", "row_count").alias("missing_percent"),
         F.coalesce("is_key", F.lit(False)).alias("likely_primary_key"),
     )
 
@@ -387,5 +372,5 @@ def flag_counts(df: DataFrame) -> DataFrame:
     flags = [name for name in df.columns if name.startswith("dq_")]
     if not flags:
         return empty_frame(df.sparkSession, "flag string, true_rows bigint")
-    row = df.agg(*[F.count_if(F.col(name).cast("boolean")).alias(name) for name in flags])
-    return unpivot_row(row, [{"flag": F.lit(name), "true_rows": F.col(name)} for name in flags])
+    row = df.selectExpr(*[f"count_if(CAST({sql.name(f)} AS boolean)) AS {sql.name(f)}" for f in flags])
+    return unpivot_row(row, [{"flag": sql.literal(f), "true_rows": sql.name(f)} for f in flags])

@@ -9,11 +9,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.contracts import MARKETPLACE, AllowedValues, ContractSet, Reference, SourceTable, TimeOrder
+from tallyhouse.functions import sql
 from tallyhouse.functions.rounding import report_percent
 from tallyhouse.functions.rules import empty_frame, union_all, unpivot_row
-from tallyhouse.functions.time import parse_timestamp
+from tallyhouse.functions.time import parse_timestamp_sql
 
 SCHEMA_REPORT = (
     "file_name string, status string, missing_columns string, unexpected_columns string, "
@@ -133,7 +135,7 @@ def reference_check(child: DataFrame, parent: DataFrame, rule: Reference, contra
     violated = F.col("orphan_rows") > 0
     if not rule.nullable:
         violated = violated | (F.col("null_child_keys") > 0)
-    non_null = F.col("child_rows") - F.col("null_child_keys")
+    non_null = "child_rows - null_child_keys"
     return orphan_counts(child, rule.column, parent, rule.parent_column).select(
         F.lit(rule.name).alias("relationship"),
         F.lit(f"{contracts.file_name(rule.child)}:{rule.column}").alias("child_reference"),
@@ -142,7 +144,7 @@ def reference_check(child: DataFrame, parent: DataFrame, rule: Reference, contra
         "null_child_keys",
         "orphan_rows",
         "distinct_orphan_keys",
-        report_percent(non_null - F.col("orphan_rows"), non_null, empty=100.0).alias("matched_non_null_percent"),
+        report_percent(f"({non_null} - orphan_rows)", f"({non_null})", empty=100.0).alias("matched_non_null_percent"),
         _status(violated, "failed" if rule.strict else "review").alias("status"),
     )
 
@@ -208,40 +210,41 @@ def allowed_value_check(df: DataFrame, rule: AllowedValues, contracts: ContractS
         F.lit("allowed_values").alias("rule_type"),
         "comparable_rows",
         "violation_rows",
-        report_percent(F.col("violation_rows"), F.col("rows")).alias("violation_percent"),
+        report_percent("violation_rows", "`rows`").alias("violation_percent"),
         F.when(F.col("bad_values") <= DETAIL_VALUES, text).otherwise(many).alias("details"),
         _status(F.col("violation_rows") > 0, "failed").alias("status"),
     )
 
 
-def _as_timestamp(df: DataFrame, column: str) -> Column:
-    return parse_timestamp(column) if dict(df.dtypes)[column] == "string" else F.col(column).cast("timestamp_ntz")
+def _timestamp_sql(df: DataFrame, column: str) -> str:
+    value = sql.name(column)
+    text = isinstance(df.schema[column].dataType, T.StringType)
+    return f"({parse_timestamp_sql(value)})" if text else f"CAST({value} AS timestamp_ntz)"
 
 
 def time_order_check(df: DataFrame, rules: list[TimeOrder], contracts: ContractSet = MARKETPLACE) -> DataFrame:
     """Report rows for all timestamp rules of one table, from one aggregate; a violation is for review only."""
     needed = dict.fromkeys(column for rule in rules for column in (rule.earlier, rule.later))
-    parsed = df.select(*[_as_timestamp(df, column).alias(column) for column in needed])
+    parsed = df.selectExpr(*[f"{_timestamp_sql(df, column)} AS {sql.name(column)}" for column in needed])
     counters = []
     for i, rule in enumerate(rules):
-        counters.append(
-            F.count_if(F.col(rule.earlier).isNotNull() & F.col(rule.later).isNotNull()).alias(f"comparable{i}")
-        )
-        counters.append(F.count_if(F.col(rule.earlier) > F.col(rule.later)).alias(f"violation{i}"))
+        earlier, later = sql.name(rule.earlier), sql.name(rule.later)
+        counters.append(f"count_if({earlier} IS NOT NULL AND {later} IS NOT NULL) AS comparable{i}")
+        counters.append(f"count_if({earlier} > {later}) AS violation{i}")
     records = [
         {
-            "rule_name": F.lit(rule.name),
-            "file_name": F.lit(contracts.file_name(rule.table)),
-            "rule_type": F.lit("timestamp_order"),
-            "comparable_rows": F.col(f"comparable{i}"),
-            "violation_rows": F.col(f"violation{i}"),
-            "violation_percent": report_percent(F.col(f"violation{i}"), F.col(f"comparable{i}")),
-            "details": F.lit(f"{rule.earlier} <= {rule.later}"),
-            "status": _status(F.col(f"violation{i}") > 0, "review"),
+            "rule_name": sql.literal(rule.name),
+            "file_name": sql.literal(contracts.file_name(rule.table)),
+            "rule_type": "'timestamp_order'",
+            "comparable_rows": f"comparable{i}",
+            "violation_rows": f"violation{i}",
+            "violation_percent": sql.percent(f"violation{i}", f"comparable{i}"),
+            "details": sql.literal(f"{rule.earlier} <= {rule.later}"),
+            "status": f"if(violation{i} > 0, 'review', 'passed')",
         }
         for i, rule in enumerate(rules)
     ]
-    return unpivot_row(parsed.agg(*counters), records)
+    return unpivot_row(parsed.selectExpr(*counters), records)
 
 
 def business_rule_checks(spark: SparkSession, tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:

@@ -677,7 +677,7 @@ def _(tb: Testbed) -> DataFrame:
     sinks.write_csv(tb["raw_reviews"], f"{folder}/order_reviews.csv")
     broken = tb["raw_sellers"].select(F.concat_ws(",", F.lit("more"), *tb["raw_sellers"].columns).alias("a,b"))
     broken.write.option("header", True).option("quote", "").csv(f"{folder}/sellers.csv")
-    audit, errors = source.audit_csv_directory(tb.spark, folder, scratch_folder(tb.spark, "audit"))
+    audit, _, errors = source.audit_csv_directory(tb.spark, folder, scratch_folder(tb.spark, "audit"))
     audited = P.shapes(audit).select("file_name", F.lit("audited").alias("outcome"), "row_count")
     rows = [(name, "load_error", None) for name in sorted(errors)]
     return audited.unionByName(tb.spark.createDataFrame(rows, "file_name string, outcome string, row_count bigint"))
