@@ -39,8 +39,14 @@ MISSING_TOKENS = (
 
 
 def stripped_sql(text: str) -> str:
-    """SQL text: surrounding white space (Unicode included) removed, blank text turned into null."""
-    return f"nullif(btrim({text}, {sql.literal(WHITE_SPACE)}), '')"
+    """SQL text: surrounding white space (Unicode included) removed, blank text turned into null.
+
+    Trimming by a character set walks the whole value, so it is left to values whose first or last character is
+    a blank, a control character or not ASCII; two byte comparisons tell.
+    """
+    last = f"substring({text}, -1, 1)"
+    suspect = " OR ".join(f"{end} < '!' OR {end} >= '\u0080'" for end in (text, last))
+    return f"nullif(if({suspect}, btrim({text}, {sql.literal(WHITE_SPACE)}), {text}), '')"
 
 
 def stripped(column: str) -> Column:

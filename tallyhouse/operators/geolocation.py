@@ -11,9 +11,9 @@ from tallyhouse.operators.cleaning import CleaningError, normalised_zip
 ZIP = "geolocation_zip_code_prefix"
 REQUIRED = (ZIP, "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state")
 
-# Grid widths, coarse to fine, that bound how many rows one median step sees per group: at most a few thousand
-# cells for coordinates, and in the end only the values inside one cell of the last width.
-CELL_WIDTHS = (0.1, 0.0001, 0.0000001)
+# Grid widths, coarse to fine, that bound how many rows one median step sees per group: at most some hundred
+# thousand cells for coordinates, and in the end only the values inside one cell of the last width.
+CELL_WIDTHS = (0.002, 0.00000002)
 CELL_LIMIT = 1_000_000.0
 
 
@@ -32,14 +32,14 @@ def exact_group_median(df: DataFrame, key: str, columns: list[str]) -> DataFrame
     value is absent from the result.
     """
     long = df.select(
-        key,
+        F.col(key).alias("group_key"),
         F.inline(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("value")) for c in columns])),
     )
-    weighted = long.filter(F.col("value").isNotNull()).groupBy(key, "axis", "value").agg(F.count("*").alias("n"))
+    weighted = long.filter(F.col("value").isNotNull()).groupBy("group_key", "axis", "value").agg(F.count("*").alias("n"))
     cells = [f"cell{i}" for i in range(len(CELL_WIDTHS))]
     weighted = weighted.withColumns(dict(zip(cells, map(_cell, CELL_WIDTHS), strict=True)))
 
-    group = [key, "axis"]
+    group = ["group_key", "axis"]
     n = F.col("n")
     picked = None
     for depth, step in enumerate([*cells, "value"]):
@@ -69,7 +69,7 @@ def exact_group_median(df: DataFrame, key: str, columns: list[str]) -> DataFrame
     for column in columns:
         value = F.when(F.col("axis") == column, F.col("value"))
         medians.append(((F.min(value) + F.max(value)) / 2).alias(column))
-    return picked.groupBy(key).agg(*medians)
+    return picked.groupBy(F.col("group_key").alias(key)).agg(*medians)
 
 
 def representative_places(geolocation: DataFrame) -> DataFrame:

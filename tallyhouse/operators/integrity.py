@@ -38,9 +38,8 @@ def _named(name: str, counted: DataFrame) -> DataFrame:
 
 def duplicate_groups(df: DataFrame, column: str, name: str = "customers_duplicate_pk") -> DataFrame:
     """Number of values that occur more than once (groups, not rows)."""
-    return _named(
-        name, df.groupBy(column).agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") > 1).alias("n"))
-    )
+    groups = df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("k"))
+    return _named(name, groups.agg(F.count_if(F.col("k") > 1).alias("n")))
 
 
 def unmatched_rows(

@@ -69,10 +69,11 @@ def key_statistics(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     Nulls group as equal. Counting per key combines on the map side, so a key shared by very many rows reaches
     the shuffle as one row per task.
     """
-    groups = df.groupBy(*key).agg(F.count("*").alias("n"))
+    parts = [f"key{i}" for i in range(len(key))]
+    groups = df.groupBy(*[F.col(c).alias(p) for c, p in zip(key, parts, strict=True)]).agg(F.count("*").alias("n"))
     any_null = F.lit(False)
-    for column in key:
-        any_null = any_null | F.col(column).isNull()
+    for part in parts:
+        any_null = any_null | F.col(part).isNull()
     n = F.col("n")
     return groups.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("row_count"),

@@ -70,7 +70,7 @@ MODEL_SOURCES = {table.source: CLEANED[name] for name, table in MARKETPLACE.mode
 
 STATEMENTS = {
     "src_01_discover_csv_files": union(
-        f"SELECT '{MARKETPLACE.file_name(name)}' AS file_name, COUNT(*) > 0 AS has_data FROM {{{view}}}"
+        f"SELECT '{MARKETPLACE.file_name(name)}' AS file_name, COUNT(*) > 0 AS found FROM {{{view}}}"
         for name, view in GOOD_SOURCES.items()
     ),
     "src_02_csv_scan": f"""

@@ -347,6 +347,11 @@ def audit(tb: Testbed) -> P.Audit:
     return P.audit_tables({name: tb[name] for name in profile_oracle.PROFILED})
 
 
+def measured(tb: Testbed, measure: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One measure of every profiled table."""
+    return union_all(measure(tb[name], name) for name in profile_oracle.PROFILED)
+
+
 def drift_reports(tb: Testbed) -> dict[str, DataFrame]:
     reports = Q.relational_quality_reports(tb.spark, tb.typed_sources())
     reports["schema_checks"] = Q.schema_checks(tb.spark, drifted_sources(tb))
@@ -360,33 +365,33 @@ def _(tb: Testbed) -> DataFrame:
 
 @register("prf_02_duplicate_rows")
 def _(tb: Testbed) -> DataFrame:
-    return audit(tb).duplicates
+    return measured(tb, P.duplicate_rows)
 
 
 @register("prf_03_missing_values")
 def _(tb: Testbed) -> DataFrame:
-    return audit(tb).columns.select("file_name", "column_name", "missing_values")
+    return measured(tb, P.column_statistics).select("file_name", "column_name", "missing_values")
 
 
 @register("prf_04_inferred_types")
 def _(tb: Testbed) -> DataFrame:
-    return audit(tb).columns.select("file_name", "column_name", "inferred_type")
+    return measured(tb, P.column_statistics).select("file_name", "column_name", "inferred_type")
 
 
 @register("prf_05_candidate_keys")
 def _(tb: Testbed) -> DataFrame:
-    return audit(tb).keys
+    return measured(tb, P.candidate_keys)
 
 
 @register("prf_06_timestamp_problems")
 def _(tb: Testbed) -> DataFrame:
-    columns = audit(tb).columns.filter(F.col("timestamp_values").isNotNull())
+    columns = measured(tb, P.column_statistics).filter(F.col("timestamp_values").isNotNull())
     return columns.select("file_name", "column_name", "timestamp_values", "invalid_timestamps")
 
 
 @register("prf_06_invalid_examples")
 def _(tb: Testbed) -> DataFrame:
-    return audit(tb).examples
+    return measured(tb, P.invalid_timestamp_examples)
 
 
 @register("prf_07_warnings")
@@ -648,7 +653,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 @register("src_01_discover_csv_files")
 def _(tb: Testbed) -> DataFrame:
     files = source.discover_csv_files(tb.spark, written_sources(tb))
-    return files.groupBy("file_name").agg(F.count_if(F.col("length") > 0).cast("boolean").alias("has_data"))
+    return files.groupBy("file_name").agg((F.count("*") > 0).alias("found"))
 
 
 @register("src_02_csv_scan")

@@ -52,7 +52,7 @@ def write_json(spark: SparkSession, payload: dict, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.option("wholetext", True).text(path).first().value)
+    return json.loads(spark.read.text(path, wholetext=True).first().value)
 
 
 def _stream_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,7 +73,7 @@ def _stream_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_digests(spark: SparkSession, *paths: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, length, sha256) of every file at or below the paths; files are spread over tasks."""
+    """(path, length, sha256) of every non-empty file at or below the paths; files are spread over tasks."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     small = files.filter(F.col("length") <= whole_file_bytes).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
