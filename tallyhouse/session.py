@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator relies on. Timestamps carry no zone, arithmetic is ANSI, and AQE may
 # split a skewed shuffle partition even where that costs one more exchange.
@@ -37,15 +37,52 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **set
     return prepare_session(builder.getOrCreate())
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+UNKNOWN_SIZE = 1 << 60
+
+
+def _scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame reads; sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_SIZE)
+
+
+def size_shuffles(spark: SparkSession, *tables: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
+    """Let shuffles start with enough partitions for the given tables; AQE merges the small ones again.
+
+    The sizes come from file metadata. The number only ever grows, and never falls below
+    ``spark.sql.shuffle.partitions``.
+    """
+    total = sum(_scanned_bytes(table) for table in tables)
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-total // bytes_per_partition), MOST_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        return wanted
+    return current
+
+
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
+def _shared_setting(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
     A local folder is used only where that setting is absent and Spark itself runs on this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = _shared_setting(spark)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder shared by all executors.")
-        shared = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tallyhouse-")
+        shared = _LOCAL_FOLDERS[application]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.session import size_shuffles
+
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -291,7 +293,9 @@ class Testbed:
         return self._frames[name]
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        size_shuffles(self.spark, table)
+        return table
 
     def _view(self, name: str) -> DataFrame:
         text = VIEWS[name]
