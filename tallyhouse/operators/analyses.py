@@ -334,11 +334,11 @@ def check_result(name: str, columns: list[str], is_empty: bool = False) -> None:
     """Raise unless the result has exactly the documented columns, in order, and a row."""
     expected = RESULT_COLUMNS.get(name)
     if expected is None:
-        raise ResultContractError(f"No result contract is declared for analysis {name!r}.")
+        raise ResultContractError(f"Unknown analysis {name!r}.")
     if tuple(columns) != expected:
-        raise ResultContractError(f"Result contract mismatch in {name}: expected {expected}, got {tuple(columns)}.")
+        raise ResultContractError(f"Columns of {name} are {tuple(columns)}, not {expected}.")
     if is_empty:
-        raise ResultContractError(f"Analysis {name} produced no rows.")
+        raise ResultContractError(f"{name} has no rows.")
 
 
 def validate_analytics_result(name: str, result: DataFrame) -> None:

@@ -33,7 +33,7 @@ class Cleaned:
 def _require(df: DataFrame, columns: Iterable[str], label: str, kind: str) -> None:
     for column in columns:
         if column not in df.columns:
-            raise CleaningError(f"Expected {kind} column {column!r} in {label}.")
+            raise CleaningError(f"{label} lacks the {kind} column {column!r}.")
 
 
 def numeric_violations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -58,8 +58,7 @@ def coerce_numeric(df: DataFrame, columns: list[str], label: str, strict: bool =
     if strict and columns:
         for row in numeric_violations(df, columns).filter("invalid_values > 0").collect():
             raise CleaningError(
-                f"Column {row.column_name!r} in {label} contains {row.invalid_values} non-null value(s) "
-                "that cannot be converted to numeric."
+                f"{label}: column {row.column_name!r} holds {row.invalid_values} value(s) that are no numbers."
             )
     return replace_columns(df, {column: F.col(column).try_cast("double") for column in columns})
 
@@ -108,7 +107,7 @@ def translate_categories(products: DataFrame, translation: DataFrame | None) ->
     shuffles, splitting a category that fills a partition.
     """
     if translation is None:
-        raise CleaningError("The category translation is required to clean products.")
+        raise CleaningError("Products need the category translation table.")
     names = strip_text(translation).select(
         F.col("product_category_name").alias("translated_name"),
         F.col("product_category_name_english").alias("translation"),

@@ -40,11 +40,11 @@ def check_columns(df: DataFrame, table: ModelTable, label: str) -> None:
     unexpected = sorted(set(df.columns) - set(table.columns))
     details = []
     if missing:
-        details.append(f"missing columns: {', '.join(missing)}")
+        details.append(f"missing: {', '.join(missing)}")
     if unexpected:
-        details.append(f"unexpected columns: {', '.join(unexpected)}")
+        details.append(f"not expected: {', '.join(unexpected)}")
     if details:
-        raise LoadContractError(f"{label} does not match its load contract ({'; '.join(details)}).")
+        raise LoadContractError(f"{label} differs from its published columns ({'; '.join(details)}).")
 
 
 def column_differences(spark: SparkSession, tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
@@ -119,11 +119,11 @@ def prepare_processed_table(df: DataFrame, table: ModelTable, label: str | None
         for row in type_violations(df, table).filter("invalid_values > 0 OR non_integral_values > 0").collect():
             if row.kind == TIMESTAMP:
                 raise LoadContractError(
-                    f"{label}:{row.column_name} contains {row.invalid_values} invalid timestamp value(s)."
+                    f"{label}: {row.column_name} holds {row.invalid_values} unreadable timestamp(s)."
                 )
             raise LoadContractError(
-                f"{label}:{row.column_name} cannot be safely loaded as an integer "
-                f"({row.invalid_values} invalid, {row.non_integral_values} non-integral)."
+                f"{label}: {row.column_name} is no integer column: {row.invalid_values} value(s) are no number, "
+                f"{row.non_integral_values} have a fraction."
             )
     return typed_table(df, table)
 

@@ -93,7 +93,7 @@ def build_geolocation_lookup(cleaned: DataFrame, source: DataFrame) -> DataFrame
     """One row per zip prefix: median position, observation and variant counts, representative place."""
     missing = sorted(set(REQUIRED) - set(cleaned.columns))
     if missing:
-        raise CleaningError(f"Cannot build the geolocation lookup; missing columns: {', '.join(missing)}")
+        raise CleaningError(f"The geolocation lookup needs the columns {', '.join(missing)}.")
     if ZIP not in source.columns:
         raise CleaningError(f"The source geolocation lacks the column {ZIP}.")
     known = cleaned.filter(F.col(ZIP).isNotNull())

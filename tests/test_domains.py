@@ -22,16 +22,16 @@ def test_types_are_validated_and_converted(spark):
 
 def test_contract_drift_raises(spark):
     df = spark.createDataFrame([(1, 2)], "id int, unexpected int")
-    with pytest.raises(D.LoadContractError, match="missing columns.*unexpected columns"):
+    with pytest.raises(D.LoadContractError, match="missing: event_at; not expected: unexpected"):
         D.prepare_processed_table(df, EXAMPLE)
 
 
 def test_bad_values_raise_with_counts(spark):
     bad_time = spark.createDataFrame([("1", "soon")], "id string, event_at string")
-    with pytest.raises(D.LoadContractError, match="event_at contains 1 invalid timestamp"):
+    with pytest.raises(D.LoadContractError, match="event_at holds 1 unreadable"):
         D.prepare_processed_table(bad_time, EXAMPLE)
     bad_number = spark.createDataFrame([("1.5", None), ("x", None)], "id string, event_at string")
-    with pytest.raises(D.LoadContractError, match=r"\(1 invalid, 1 non-integral\)"):
+    with pytest.raises(D.LoadContractError, match="1 value.s. are no number, 1 have a fraction"):
         D.prepare_processed_table(bad_number, EXAMPLE)
 
 
