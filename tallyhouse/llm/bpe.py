@@ -30,7 +30,7 @@ VOCABULARY = "byte_bpe_50k.json"
 PIECES_KEPT = 400_000
 
 # The white space and the piece pattern of the byte-level pre-tokenizer.
-SPACE = r"\t-\r\x20\x85\xa0  -     　"
+SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
@@ -115,9 +115,6 @@ class Vocabulary:
 
     def piece_ids(self, piece: bytes) -> list[int]:
         """Ids of one piece by backtracking."""
-        whole = self.ids.get(piece)
-        if whole is not None and self._whole(whole):
-            return [whole]
         longest = [-1] * len(piece)
         best = [0] * len(piece)
         for end, (size, i) in self.automaton.iter(piece.decode("latin-1")):
@@ -144,31 +141,6 @@ class Vocabulary:
             else:
                 token = fallback
 
-    def _whole(self, token: int) -> bool:
-        """Whether merging the bytes of a token leads to it: true if the boundary in its last merge holds nothing back."""
-        parts = self.parts[token]
-        return parts is None or self._reached(*parts)
-
-    def _reached(self, left: int, right: int) -> bool:
-        return self._whole(left) and self._whole(right) and self._survives_until(left, right, self.merged[left, right])
-
-    def _survives_until(self, left: int, right: int, final: int) -> bool:
-        """Whether no merge across the boundary comes before the one that joins both tokens."""
-        limit, equal_wins, first = len(self.rank), False, True
-        while True:
-            across = self.merged.get((left, right))
-            if not first and across is not None and (across < limit or equal_wins and across == limit):
-                return False
-            first = False
-            if self.parts[left] is None and self.parts[right] is None:
-                return True
-            if self.rank[left] > self.rank[right]:
-                limit, equal_wins = self.rank[left], False
-                left = self.parts[left][1]
-            else:
-                limit, equal_wins = self.rank[right], True
-                right = self.parts[right][0]
-
 
 class Encoder(dict):
     """Pieces already encoded: packed ids and their decimal text."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontaminate, quality, secrets
+from tallyhouse.llm import bpe, decontaminate, quality, secrets, token_files
 from tallyhouse.llm.session import table
 
 
@@ -14,15 +14,29 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.decontamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_file_report(table(spark, folder, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(table(spark, folder, "documents"))
 
 
+def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip_report(table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = (op4_secret_scan, op5_benchmark_decontamination, op9_quality_classifier)
+QUERIES = (
+    op2_token_files,
+    op4_secret_scan,
+    op5_benchmark_decontamination,
+    op8_bpe_round_trip,
+    op9_quality_classifier,
+)
 
 
 def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
