@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, quality, secrets, token_files
+from tallyhouse.llm import bpe, decontaminate, jaccard, quality, secrets, token_files
 from tallyhouse.llm.session import table
 
 
@@ -22,6 +22,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(table(spark, folder, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.grouped(table(spark, folder, "documents"), length=3, percent=90)
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_report(table(spark, folder, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES = (
     op2_token_files,
     op4_secret_scan,
     op5_benchmark_decontamination,
+    op7_jaccard_join,
     op8_bpe_round_trip,
     op9_quality_classifier,
 )
