@@ -19,10 +19,11 @@ _U64 = np.uint64
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts (null: empty) and the offsets of each, starting at 0."""
+    """Bytes of all texts or binary values (null: empty) and the offsets of each, starting at 0."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
     if column.null_count:
-        column = column.fill_null("")
-    wide = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+        column = column.fill_null(b"" if binary else "")
+    wide = column.cast(pa.large_binary() if binary else pa.large_string())
     _, offsets, data = wide.buffers()
     starts = np.frombuffer(offsets, np.int64, len(wide) + 1, wide.offset * 8)
     if data is None or starts[-1] == starts[0]:

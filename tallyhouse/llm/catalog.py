@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, jaccard, quality, secrets, token_files
+from tallyhouse.llm import bpe, decontaminate, jaccard, quality, secrets, substrings, token_files
 from tallyhouse.llm.session import table
 
 
@@ -14,6 +14,10 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.decontamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op1_repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removal_report(table(spark, folder, "documents"))
+
+
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_report(table(spark, folder, "documents"))
 
@@ -35,6 +39,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = (
+    op1_repeated_substrings,
     op2_token_files,
     op4_secret_scan,
     op5_benchmark_decontamination,
