@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, jaccard, quality, secrets, substrings, token_files
+from tallyhouse.llm import bpe, decontaminate, fingerprints, jaccard, quality, secrets, substrings, token_files
 from tallyhouse.llm.session import table
 
 
@@ -38,6 +38,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, folder, "documents"))
+
+
 QUERIES = (
     op1_repeated_substrings,
     op2_token_files,
@@ -46,6 +50,7 @@ QUERIES = (
     op7_jaccard_join,
     op8_bpe_round_trip,
     op9_quality_classifier,
+    op10_order_minhash,
 )
 
 
