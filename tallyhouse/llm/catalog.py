@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, fingerprints, jaccard, quality, secrets, substrings, token_files
+from tallyhouse.llm import bpe, decontaminate, fingerprints, html, jaccard, preferences, quality, secrets, substrings, token_files
 from tallyhouse.llm.session import table
 
 
@@ -22,10 +22,18 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_report(table(spark, folder, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extraction_report(table(spark, folder, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(table(spark, folder, "documents"))
 
 
+def op6_preference_format(spark: SparkSession, folder: str) -> DataFrame:
+    return preferences.preference_report(table(spark, folder, "conversations"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.grouped(table(spark, folder, "documents"), length=3, percent=90)
 
@@ -45,8 +53,10 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = (
     op1_repeated_substrings,
     op2_token_files,
+    op3_html_extraction,
     op4_secret_scan,
     op5_benchmark_decontamination,
+    op6_preference_format,
     op7_jaccard_join,
     op8_bpe_round_trip,
     op9_quality_classifier,
@@ -61,4 +71,4 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def corpus_oracle() -> dict[str, str]:
     """DuckDB statement where SQL expresses the result and is quick on whole tables."""
-    return {}
+    return {"op6_preference_format": preferences.PREFERENCE_SQL}
