@@ -9,7 +9,8 @@ ids from one array of token bytes and its offsets.
 Texts are cut into pieces as the tokenizer does, and each distinct piece of a worker is encoded once (the memory is
 bounded by ``PIECES_KEPT``; it changes the speed, never the result). Special tokens in a text become their ids.
 
-Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise.
+Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise;
+an input column with the name of an added one is replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tallyhouse.llm.session import others
+
 VOCABULARY = "byte_bpe_50k.json"
 PIECES_KEPT = 400_000
 
@@ -206,6 +209,7 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
 
 def encode_texts(docs: DataFrame, text_column: str = "text", ids_column: str = "token_ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """The documents with one more column, the ids of their texts."""
+    docs = others(docs, ids_column)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_column, T.ArrayType(T.IntegerType()))])
     names = [*docs.columns, ids_column]
 
@@ -220,6 +224,7 @@ def encode_texts(docs: DataFrame, text_column: str = "text", ids_column: str = "
 
 def decode_ids(docs: DataFrame, ids_column: str = "token_ids", text_column: str = "decoded", vocabulary: str = VOCABULARY) -> DataFrame:
     """The rows with one more column, the text of their ids."""
+    docs = others(docs, text_column)
     schema = T.StructType([*docs.schema.fields, T.StructField(text_column, T.StringType())])
     names = [*docs.columns, text_column]
 

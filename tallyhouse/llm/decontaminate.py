@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.bytes import LOWER, blocks, byte_table, mixed, prefix_hashes, substring_hashes, text_bytes, words
+from tallyhouse.llm.session import others
 
 WINDOW = 10
 ITEM_BLOCK_BYTES = 16 << 20
@@ -186,16 +187,16 @@ def _item_blocks(benchmark: DataFrame, item_column: str, text_column: str, most:
         yield [row["item"] for row in got], [row["text"] for row in got]
 
 
-def _scan(docs: DataFrame, text_column: str, item_type: T.DataType, ids: list, tests: TestSuffixes | None, window: int) -> DataFrame:
+def _scan(docs: DataFrame, text_column: str, item_type: T.DataType, ids: list, tests: TestSuffixes | None, window: int, prefix: str) -> DataFrame:
     """All columns of the documents plus what one block of items matches."""
     keep = docs.columns
     schema = T.StructType(
         [
             *docs.schema.fields,
-            T.StructField("match_words", T.LongType()),
-            T.StructField("match_spans", T.ArrayType(SPAN)),
-            T.StructField("match_longest", T.LongType()),
-            T.StructField("match_items", T.ArrayType(item_type)),
+            T.StructField(f"{prefix}_words", T.LongType()),
+            T.StructField(f"{prefix}_spans", T.ArrayType(SPAN)),
+            T.StructField(f"{prefix}_longest", T.LongType()),
+            T.StructField(f"{prefix}_items", T.ArrayType(item_type)),
         ]
     )
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -213,46 +214,44 @@ def _scan(docs: DataFrame, text_column: str, item_type: T.DataType, ids: list, t
                 items = [[ids[i] for i in x] for x in got["items"]]
                 columns = [part.column(c) for c in keep]
                 columns += [pa.array(got["n_words"], pa.int64()), pa.array(spans, span_type), pa.array(got["longest"], pa.int64()), pa.array(items, items_type)]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "match_words", "match_spans", "match_longest", "match_items"])
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *[f"{prefix}_{x}" for x in ("words", "spans", "longest", "items")]])
 
     return docs.mapInArrow(run, schema)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", window: int = WINDOW, item_block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+def matches(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    item_block_bytes: int = ITEM_BLOCK_BYTES,
+    prefix: str = "match",
+) -> DataFrame:
     """The documents with ``match_words``, ``match_spans`` (word positions), ``match_longest``, ``match_items``.
 
-    Other columns pass through. With several item blocks, a row is followed by a number of its own and its spans are
-    merged over the blocks.
+    Other columns pass through; one with the name of an added one is replaced. With several item blocks, the rows are
+    scanned once for each, and their spans and items are merged.
     """
-    kind = benchmark.schema[item_column].dataType
-    if isinstance(kind, T.IntegralType):
-        benchmark = benchmark.withColumn(item_column, F.col(item_column).cast("long"))
-        kind = T.LongType()
-    else:
-        benchmark = benchmark.withColumn(item_column, F.col(item_column).cast("string"))
-        kind = T.StringType()
+    added = [f"{prefix}_{x}" for x in ("words", "spans", "longest", "items")]
+    got = [f"_{x}" for x in added[1:]]
+    docs = others(docs, *added, *got)
+    kind = T.LongType() if isinstance(benchmark.schema[item_column].dataType, T.IntegralType) else T.StringType()
+    benchmark = benchmark.withColumn(item_column, F.col(item_column).cast(kind))
     found = [(ids, test_suffixes(ids, texts, window)) for ids, texts in _item_blocks(benchmark, item_column, item_text, item_block_bytes)]
-    if len(found) == 1:
-        return _scan(docs, text_column, kind, *found[0], window)
-    out = docs
-    for ids, tests in found:
-        scanned = _scan(out.select(*docs.columns, *[F.col(c) for c in out.columns if c.startswith("_got")]), text_column, kind, ids, tests, window)
-        if "_got_spans" not in out.columns:
-            merged = (F.col("match_spans"), F.col("match_longest"), F.col("match_items"))
-        else:
-            merged = (
-                F.concat("_got_spans", "match_spans"),
-                F.greatest("_got_longest", "match_longest"),
-                F.array_distinct(F.concat("_got_items", "match_items")),
-            )
-        out = scanned.select(*docs.columns, "match_words", merged[0].alias("_got_spans"), merged[1].alias("_got_longest"), merged[2].alias("_got_items"))
-    return out.select(
-        *docs.columns,
-        "match_words",
-        merge_spans(F.col("_got_spans")).alias("match_spans"),
-        F.col("_got_longest").alias("match_longest"),
-        F.col("_got_items").alias("match_items"),
-    )
+    out = _scan(docs, text_column, kind, *found[0], window, prefix)
+    for ids, tests in found[1:]:
+        held = out.select(*docs.columns, *[F.col(a).alias(g) for a, g in zip(added[1:], got, strict=True)])
+        spans, longest, items = (F.col(x) for x in added[1:])
+        out = _scan(held, text_column, kind, ids, tests, window, prefix).select(
+            *docs.columns,
+            added[0],
+            merge_spans(F.concat(got[0], spans)).alias(added[1]),
+            F.greatest(got[1], longest).alias(added[2]),
+            F.array_distinct(F.concat(got[2], items)).alias(added[3]),
+        )
+    return out
 
 
 def merge_spans(spans):
@@ -277,7 +276,10 @@ def span_words(spans):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents in which no test window occurs, with their own columns."""
-    return matches(docs, benchmark, text_column, window=window).where(F.size("match_spans") == 0).select(*docs.columns)
+    prefix = "match"
+    while any(c.lower().lstrip("_").startswith(f"{prefix}_") for c in docs.columns):
+        prefix += "x"
+    return matches(docs, benchmark, text_column, window=window, prefix=prefix).where(F.size(f"{prefix}_spans") == 0).select(*docs.columns)
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

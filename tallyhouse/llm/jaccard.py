@@ -7,9 +7,10 @@ are enumerated and similar sets agree on all partitions of one subset. A signatu
 partition (or subset), with its band. A set takes part in its own band and, as the larger partner, in the one below.
 Agreement on empty partitions alone is excluded by spare partitions; a set with too many empty ones emits those too.
 
-Candidates are rows that share a signature. They are never expanded into all pairs: each is compared with the smallest
-id of its signature, first once per document, then wherever the components still differ. Signatures whose documents
-remain in several components are then compared across components, so no link is lost. Every candidate pair is checked
+Candidates are rows that share a signature. They are never expanded into all pairs: each is compared with the member
+of its signature that shares most signatures with others, first once per document, then wherever the components still
+differ. Signatures whose documents remain in several components are then compared across components, so no link is
+lost; there the join itself applies the bounds of sizes and odd sketches, so only likely pairs leave it. Every candidate pair is checked
 on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
 
 Defined cases: null texts and texts without words have no features and link with nothing; fewer words than the shingle
@@ -39,6 +40,9 @@ SMALL_K = {0: 1, 1: 3, 2: 5, 3: 6}
 
 IS_WORD = ~byte_table(" \t\n\v\f\r", wide=False)
 
+SKETCH_WORDS = 8  # 64-bit words of an odd sketch
+SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+
 _U64 = np.uint64
 _STEP = _U64(0x9E3779B97F4A7C15)
 
@@ -134,6 +138,18 @@ def set_digests(row: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.bincount(row, minlength=n), mixed(first), mixed(second)
 
 
+def odd_sketches(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Per row, one bit for each hash bucket that holds an odd number of features, as 64-bit words.
+
+    Every feature that only one of two sets has flips one bit, so two sketches differ in at most as many bits as the
+    sets differ in features.
+    """
+    bits = 64 * SKETCH_WORDS
+    bucket = (mixed(value, 9) % _U64(bits)).astype(np.int64)
+    odd = np.bincount(row * bits + bucket, minlength=n * bits).reshape(n, bits) & 1
+    return np.packbits(odd.astype(np.uint8), 1).view(np.int64).reshape(n, SKETCH_WORDS)
+
+
 def signatures(row: np.ndarray, value: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and signature of all sets of a block; of equal sets only the first emits any."""
     size, one, two = set_digests(row, value, n)
@@ -160,20 +176,23 @@ def signatures(row: np.ndarray, value: np.ndarray, n: int, percent: int) -> tupl
 
 
 def _described(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, n_shingles and the set's two hashes, for every row."""
+    """doc_id, n_shingles, the set's two hashes and its odd sketch, for every row."""
+    names = ["doc_id", "n_shingles", "one", "two", *SKETCH]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in blocks(batch, "text"):
-                size, one, two = set_digests(*shingles(data, offsets, length), part.num_rows)
-                columns = [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "one", "two"])
+                row, value = shingles(data, offsets, length)
+                size, one, two = set_digests(row, value, part.num_rows)
+                sketch = odd_sketches(row, value, part.num_rows)
+                columns = [size, one.view(np.int64), two.view(np.int64), *sketch.T]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns]], names)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long")
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _candidates(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """sig, doc, center: documents that share a signature, with the smallest of them."""
+    """sig, doc: documents that share a signature with others."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,36 +202,41 @@ def _candidates(docs: DataFrame, length: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(ids[owner], pa.int64())], ["sig", "doc"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows sorted by sig and doc, those whose sig has more than one doc; a row waits until the next is known."""
-        sig, doc, center, open_ = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), False
+        """Of rows sorted by sig and doc, those whose sig has more rows; the last one waits for the next batch."""
+        sig, doc, open_ = np.empty(0, np.int64), np.empty(0, np.int64), False
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = np.concatenate([sig, batch.column(0).to_numpy()])
             doc = np.concatenate([doc, batch.column(1).to_numpy()])
-            starts = np.ones(len(sig), bool)
-            starts[1:] = sig[1:] != sig[:-1]
-            first = np.maximum.accumulate(np.where(starts, np.arange(len(sig)), 0))
-            known = doc[first]
-            if len(center):  # the waiting row may belong to an older group
-                known[sig == sig[0]] = center[0]
-            more = np.zeros(len(sig), bool)
-            more[1:] = ~starts[1:]
-            keep = more.copy()
-            keep[:-1] |= more[1:]
+            equal = sig[1:] == sig[:-1]
+            keep = np.zeros(len(sig), bool)
+            keep[1:] = equal
+            keep[:-1] |= equal
             keep[0] |= open_
-            out = np.arange(len(sig)) < len(sig) - 1
-            take = out & keep
-            if take.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[take]) for x in (sig, doc, known)], ["sig", "doc", "center"])
+            take = np.flatnonzero(keep[:-1])
+            if len(take):
+                yield pa.RecordBatch.from_arrays([pa.array(sig[take]), pa.array(doc[take])], ["sig", "doc"])
             open_ = bool(keep[-1])
-            sig, doc, center = sig[-1:], doc[-1:], known[-1:]
+            sig, doc = sig[-1:], doc[-1:]
         if open_:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (sig, doc, center)], ["sig", "doc", "center"])
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc)], ["sig", "doc"])
 
     rows = docs.where("doc_id IS NOT NULL").mapInArrow(emit, "sig long, doc long")
     sorted_ = rows.repartition("sig").sortWithinPartitions("sig", "doc")
-    return sorted_.mapInArrow(shared, "sig long, doc long, center long")
+    return sorted_.mapInArrow(shared, "sig long, doc long")
+
+
+def _with_centers(shared: DataFrame) -> DataFrame:
+    """sig, doc, center: the member of each signature that shares most with all others, in sum over its signatures.
+
+    The original of a group of near copies shares more with each copy than two copies do with each other, so it is the
+    one to compare them with.
+    """
+    sizes = shared.groupBy("sig").agg(F.count("*").alias("n"))
+    weights = shared.join(sizes, "sig").groupBy("doc").agg(F.sum("n").alias("weight"))
+    centers = shared.join(weights, "doc").groupBy("sig").agg(F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("most"))
+    return shared.join(centers.select("sig", (-F.col("most.minus")).alias("center")), "sig")
 
 
 def similar(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], n: int, percent: int) -> np.ndarray:
@@ -227,6 +251,12 @@ def similar(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nda
     return (union > 0) & (100 * both >= percent * union)
 
 
+def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Texts of the documents in pairs (a, b)."""
+    used = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return stored(docs.join(used, "doc_id", "left_semi"), "texts")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
 
@@ -249,31 +279,46 @@ def _with_components(rows: DataFrame, labels: DataFrame, *columns: str) -> DataF
     return rows
 
 
+def _can_link(left: str, right: str, percent: int):
+    """Whether sizes and odd sketches allow two sets to reach the threshold; both are exact bounds."""
+    a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
+    apart = sum((F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in SKETCH), F.lit(0))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * apart <= (100 - percent) * (a + b))
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow."""
+    left, right = sets.alias("l"), sets.alias("r")
+    joined = pairs.join(left, F.col("a") == F.col("l.doc_id")).join(right, F.col("b") == F.col("r.doc_id"))
+    return joined.where(_can_link("l", "r", percent)).select("a", "b").distinct()
+
+
 def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> DataFrame:
     """Component of every document that has a link: node, component."""
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["n_shingles", "one", "two"]
     copies = sets.join(sets.groupBy(*same).agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last")).where("b < last").drop("last"), same).select(F.col("doc_id").alias("a"), "b")
-    shared = stored(_candidates(docs, length, percent), "candidates")
-    pairs = stored(shared.where("doc <> center").groupBy("doc", "center").agg(F.count("*").alias("n")), "pairs")
-    used = pairs.select(F.col("doc").alias("doc_id")).union(pairs.select(F.col("center").alias("doc_id"))).distinct()
-    texts = stored(docs.join(used, "doc_id", "left_semi"), "texts")
-
+    sketched = sets.select("doc_id", "n_shingles", *SKETCH)
+    shared = stored(_with_centers(stored(_candidates(docs, length, percent), "signatures")), "candidates")
+    pairs = shared.where("doc <> center").groupBy(F.col("doc").alias("a"), F.col("center").alias("b")).agg(F.count("*").alias("n"))
+    pairs = stored(pairs.join(_possible(pairs.select("a", "b"), sketched, percent), ["a", "b"]), "pairs")
+    texts = _texts(docs, pairs)
     # The center that shares most signatures, once per document.
-    first = pairs.groupBy(F.col("doc").alias("a")).agg(F.max_by("center", F.struct("n", -F.col("center"))).alias("b"))
+    first = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     edges = stored(_verified(first, texts, length, percent).union(copies), "links")
     labels = stored(components(edges), "components")
     # Other centers, where the components differ.
-    rest = _with_components(pairs.select(F.col("doc").alias("a"), F.col("center").alias("b")).join(first, ["a", "b"], "left_anti"), labels, "a", "b").where("a_in <> b_in").select("a", "b")
+    rest = _with_components(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels, "a", "b").where("a_in <> b_in").select("a", "b")
     edges = stored(edges.union(_verified(rest, texts, length, percent)), "links")
     labels = stored(components(edges), "components")
     # Signatures whose documents are still apart: members other than the center, across components.
     placed = _with_components(shared, labels, "doc")
     apart = placed.groupBy("sig").agg(F.min("doc_in").alias("low"), F.max("doc_in").alias("high")).where("low < high").select("sig")
-    open_ = placed.where("doc <> center").join(apart, "sig", "left_semi").select("sig", "doc", "doc_in")
-    other = open_.select("sig", F.col("doc").alias("other"), F.col("doc_in").alias("other_in"))
-    across = open_.join(other, "sig").where("doc < other AND doc_in <> other_in").select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct()
-    edges = stored(edges.union(_verified(across, texts, length, percent)), "links")
+    open_ = placed.where("doc <> center").join(apart, "sig", "left_semi").join(sketched, F.col("doc") == F.col("doc_id")).drop("doc_id", "center")
+    left, right = open_.alias("l"), open_.alias("r")
+    across = left.join(right, (F.col("l.sig") == F.col("r.sig")) & (F.col("l.doc") < F.col("r.doc")) & (F.col("l.doc_in") != F.col("r.doc_in")) & _can_link("l", "r", percent))
+    across = stored(across.select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b")).distinct(), "across")
+    edges = stored(edges.union(_verified(across, _texts(docs, across), length, percent)), "links")
     return stored(components(edges), "components")
 
 

@@ -8,7 +8,8 @@ Training uses a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest ha
 scoring runs on the executors without a shuffle.
 
 Defined cases: a null or empty text is one chunk of padding and gets that chunk's score; labelled rows without a
-document, without a label or repeated ids are dropped or used once; without any usable label every score is 0.5.
+document, without a label or repeated ids are dropped or used once; without any usable label every score is 0.5; an input
+column with the name of the score is replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.bytes import blocks
+from tallyhouse.llm.session import others, unused
 
 TRAIN_ROWS = 4000  # bound of the training sample
 EPOCHS = 8
@@ -69,9 +71,9 @@ class Network:
 
 
 def laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts padded with zero bytes to whole half chunks, at least two each, and the first half chunk of each."""
+    """Texts padded with at least STRIDE zero bytes to two or more whole half chunks, and the first half chunk of each."""
     sizes = np.diff(offsets)
-    halves = np.maximum(2, -(-sizes // HALF_CHUNK))
+    halves = np.maximum(2, -(-(sizes + STRIDE) // HALF_CHUNK))
     first = np.concatenate([[0], np.cumsum(halves)])
     out = np.zeros(int(first[-1]) * HALF_CHUNK, np.uint8)
     for row, begin in enumerate((first[:-1] * HALF_CHUNK).tolist()):
@@ -79,8 +81,9 @@ def laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, first
 
 
-def half_maxima(net: Network, flat: np.ndarray) -> np.ndarray:
-    """Largest filter response within each half chunk (a filter may read STRIDE bytes beyond it)."""
+def half_maxima(net: Network, flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Largest filter response within each half chunk (a filter may read STRIDE bytes beyond it, not into the next text)."""
+    last = first[1:] * STEPS - 1  # begins in padding and would read the next text
     out = np.empty((len(flat) // HALF_CHUNK, FILTERS), np.float32)
     pad = np.zeros(STRIDE, np.uint8)
     for begin in range(0, len(flat), PIECE_BYTES):
@@ -89,6 +92,8 @@ def half_maxima(net: Network, flat: np.ndarray) -> np.ndarray:
         embedded = net.embedding[piece].reshape(-1, STRIDE * EMBEDDING)
         response = embedded[:-1] @ net.left
         response += embedded[1:] @ net.right
+        low, high = np.searchsorted(last, [begin // STRIDE, end // STRIDE])
+        response[last[low:high] - begin // STRIDE] = -np.inf
         out[begin // HALF_CHUNK : end // HALF_CHUNK] = response.reshape(-1, STEPS, FILTERS).max(1)
     return out
 
@@ -96,7 +101,7 @@ def half_maxima(net: Network, flat: np.ndarray) -> np.ndarray:
 def probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Probability of a good label for every text."""
     flat, first = laid_out(data, offsets)
-    halves = half_maxima(net, flat)
+    halves = half_maxima(net, flat, first)
     chunks = np.maximum(np.maximum(halves[:-1], halves[1:]) + net.bias, 0)
     logits = chunks @ net.out
     logits = np.append(logits, np.float32(0))
@@ -110,7 +115,9 @@ def _gradients(net: Network, flat: np.ndarray, first: np.ndarray, label: np.ndar
     """Gradient of the mean log loss of a batch; only the largest response of each chunk takes part."""
     bytes_ = np.concatenate([flat, np.zeros(STRIDE, np.uint8)])
     embedded = net.embedding[bytes_].reshape(-1, STRIDE * EMBEDDING)
-    response = (embedded[:-1] @ net.left + embedded[1:] @ net.right).reshape(-1, STEPS, FILTERS)
+    response = embedded[:-1] @ net.left + embedded[1:] @ net.right
+    response[first[1:] * STEPS - 1] = -np.inf
+    response = response.reshape(-1, STEPS, FILTERS)
     best = response.argmax(1)
     top = np.take_along_axis(response, best[:, None, :], 1)[:, 0]
     second = top[1:] > top[:-1]
@@ -193,6 +200,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 
 def scored(docs: DataFrame, net: Network | None, text_column: str = "text", score: str = "quality_score") -> DataFrame:
     """The documents with one more column, the probability of a good label."""
+    docs = others(docs, score)
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
     names = [*docs.columns, score]
 
@@ -208,7 +216,8 @@ def scored(docs: DataFrame, net: Network | None, text_column: str = "text", scor
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = KEEP_SCORE) -> DataFrame:
     """The documents whose score reaches the threshold."""
     net = trained(*training_rows(docs, labels))
-    return scored(docs, net).where(F.col("quality_score") >= threshold).select(*docs.columns)
+    score = unused(docs, "quality_score")
+    return scored(docs, net, score=score).where(F.col(score) >= threshold).select(*docs.columns)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ identifier or an endpoint, an endpoint needs both. The join sorts the parts of a
 maxima of their ends, so no pairs are formed. Parts belong to one text, so nothing is shuffled.
 
 Defined cases: null and empty texts have no spans; equal spans of one kind are reported once; overlapping spans of
-different kinds all are; other columns pass through.
+different kinds all are; other columns pass through, but one with the name of the added one is replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.session import others
+
 REACH = 200
 MASK = "<secret>"
 KINDS = ("assign", "access", "hex", "named_id", "weak_secret", "endpoint")
@@ -145,6 +147,7 @@ _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 
 def find_secrets(docs: DataFrame, text_column: str = "text", spans_column: str = "secret_spans") -> DataFrame:
     """The documents with one more column, their reported spans in code points."""
+    docs = others(docs, spans_column)
     schema = T.StructType([*docs.schema.fields, T.StructField(spans_column, SPAN_TYPE)])
     names = [*docs.columns, spans_column]
 

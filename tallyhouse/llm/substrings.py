@@ -16,7 +16,8 @@ windows, keyed by the hash of the bytes that all windows of a cell share; counti
 gathering the group.
 
 Defined cases: null texts are empty; texts shorter than SPAN have no windows; rows are identified by doc_id and a hash
-of the text, and repeated rows count as separate texts; overlapping repeats within one text count; other columns pass.
+of the text, and repeated rows count as separate texts; overlapping repeats within one text count; other columns
+pass, but those named like the added one or in INTERNAL are dropped.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.bytes import blocks, cached_powers, mixed, prefix_hashes, substring_hashes, text_bytes
-from tallyhouse.llm.session import stored
+from tallyhouse.llm.session import others, stored
 
 SPAN = 400
 GRAM = 200
@@ -44,6 +45,7 @@ PIECE = 8 << 20  # windows searched at a time; must stay below 2^24
 _U64 = np.uint64
 _PLACE = _U64((1 << 24) - 1)
 KEY = ("_id", "_hash")
+INTERNAL = (*KEY, "_spans", "_blocks", "_more")
 
 
 def _minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -272,6 +274,7 @@ def _settled(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, spans_column: str = "repeated_spans") -> DataFrame:
     """The documents with one more column, the bytes of their texts that repeats cover: disjoint ascending spans."""
+    docs = others(docs, spans_column, *INTERNAL)
     columns = docs.columns
     known = _settled(_keyed(docs))
     waiting = F.size(F.coalesce("_blocks", F.array().cast(f"array<{_BLOCK}>"))) > 0
