@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.rounding import rate_pct, ratio, round_money, round_rate
-from tallyhouse.functions.time import elapsed_days
+from tallyhouse.functions.rounding import rate_pct, round_money, round_ratio
+from tallyhouse.functions.time import elapsed_microseconds
 
 
 def delivered() -> Column:
@@ -38,6 +38,15 @@ def on_time() -> Column:
     return F.col("order_delivered_customer_date").cast("date") <= F.col("order_estimated_delivery_date").cast("date")
 
 
+# Decimals of an order's mean score in sums, which are exact and so do not depend on the partitions.
+REVIEW_PLACES = 12
+MICROSECONDS_PER_DAY = 86_400_000_000
+
+
+def review_total() -> Column:
+    return F.sum(F.col("average_review_score").cast(f"decimal(24,{REVIEW_PLACES})"))
+
+
 _PARTIALS = {
     "total_orders": lambda: F.count("*"),
     "delivered_orders": lambda: F.count_if(delivered()),
@@ -45,11 +54,11 @@ _PARTIALS = {
     "dated_deliveries": lambda: F.count_if(dated_delivery()),
     "on_time_deliveries": lambda: F.count_if(dated_delivery() & on_time()),
     "delivered_gmv": lambda: F.sum(F.when(delivered(), F.col("item_revenue"))),
-    "delivery_days": lambda: F.sum(
-        F.when(delivered(), elapsed_days("order_purchase_timestamp", "order_delivered_customer_date"))
+    "delivery_time": lambda: F.sum(
+        F.when(delivered(), elapsed_microseconds("order_purchase_timestamp", "order_delivered_customer_date"))
     ),
     "timed_deliveries": lambda: F.count_if(delivered() & F.col("order_delivered_customer_date").isNotNull()),
-    "review_total": lambda: F.sum("average_review_score"),
+    "review_total": lambda: review_total(),
     "reviewed_orders": lambda: F.count("average_review_score"),
     "low_reviews": lambda: F.count_if(low_review()),
     "first_purchase": lambda: F.min("order_purchase_timestamp"),
@@ -76,7 +85,7 @@ def delivered_gmv() -> Column:
 
 
 def delivered_average_order_value() -> Column:
-    return round_rate(ratio(F.col("delivered_gmv"), F.col("delivered_orders"))).alias("delivered_average_order_value")
+    return round_ratio(F.col("delivered_gmv"), F.col("delivered_orders"), places=2).alias("delivered_average_order_value")
 
 
 def cancellation_rate_pct() -> Column:
@@ -88,11 +97,11 @@ def on_time_delivery_rate_pct() -> Column:
 
 
 def average_delivery_days() -> Column:
-    return round_rate(ratio(F.col("delivery_days"), F.col("timed_deliveries"))).alias("average_delivery_days")
+    return round_ratio(F.col("delivery_time"), F.col("timed_deliveries") * MICROSECONDS_PER_DAY).alias("average_delivery_days")
 
 
 def average_review_score() -> Column:
-    return round_rate(ratio(F.col("review_total"), F.col("reviewed_orders"))).alias("average_review_score")
+    return round_ratio(F.col("review_total"), F.col("reviewed_orders"), places=REVIEW_PLACES).alias("average_review_score")
 
 
 def low_review_rate_pct() -> Column:

@@ -34,9 +34,9 @@ def days_late(delivered: Column | str, estimated: Column | str) -> Column:
     return F.datediff(_column(delivered).cast("date"), _column(estimated).cast("date"))
 
 
-def elapsed_days(start: Column | str, end: Column | str) -> Column:
-    """Elapsed time in days with fraction."""
-    return F.timestamp_diff("MICROSECOND", _column(start), _column(end)) / F.lit(86_400_000_000.0)
+def elapsed_microseconds(start: Column | str, end: Column | str) -> Column:
+    """Elapsed time in microseconds."""
+    return F.timestamp_diff("MICROSECOND", _column(start), _column(end))
 
 
 def month_distance(later: Column | str, earlier: Column | str) -> Column:

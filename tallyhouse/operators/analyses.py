@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.contracts import RESULT_COLUMNS
 from tallyhouse.functions import measures as M
-from tallyhouse.functions.rounding import rate_pct, ratio, round_money, round_rate
+from tallyhouse.functions.rounding import rate_pct, round_money, round_ratio
 from tallyhouse.functions.time import days_late, month_distance, month_start
 from tallyhouse.operators import stages as S
 
@@ -42,7 +42,7 @@ def executive_summary(t: Mapping[str, DataFrame]) -> DataFrame:
         "delivered_gmv",
         "on_time_deliveries",
         "dated_deliveries",
-        "delivery_days",
+        "delivery_time",
         "timed_deliveries",
         "review_total",
         "reviewed_orders",
@@ -97,7 +97,7 @@ def monthly_performance(t: Mapping[str, DataFrame]) -> DataFrame:
             "delivered_gmv",
             "on_time_deliveries",
             "dated_deliveries",
-            "delivery_days",
+            "delivery_time",
             "timed_deliveries",
             "review_total",
             "reviewed_orders",
@@ -125,7 +125,8 @@ def category_performance(t: Mapping[str, DataFrame]) -> DataFrame:
         F.sum("item_count").alias("items_sold"),
         F.sum("item_revenue").alias("revenue"),
         F.sum("freight_revenue").alias("freight"),
-        F.avg("average_review_score").alias("review"),
+        M.review_total().alias("review_total"),
+        F.count("average_review_score").alias("reviewed_orders"),
     )
     return totals.select(
         "category_name",
@@ -133,8 +134,8 @@ def category_performance(t: Mapping[str, DataFrame]) -> DataFrame:
         "items_sold",
         round_money(F.col("revenue")).alias("delivered_gmv"),
         round_money(F.col("freight")).alias("freight_revenue"),
-        round_rate(ratio(F.col("revenue"), F.col("items_sold"))).alias("average_item_price"),
-        round_rate(F.col("review")).alias("average_review_score"),
+        round_ratio(F.col("revenue"), F.col("items_sold"), places=2).alias("average_item_price"),
+        M.average_review_score(),
     ).orderBy(F.desc_nulls_first("delivered_gmv"), F.asc_nulls_last("category_name"))
 
 
@@ -175,8 +176,9 @@ def payment_method_performance(t: Mapping[str, DataFrame]) -> DataFrame:
         F.count("*").alias("payment_records"),
         F.count_distinct("order_id").alias("orders_using_method"),
         F.sum("payment_value").alias("value"),
-        F.avg(F.col("payment_value").cast("double")).alias("mean_value"),
-        F.avg("payment_installments").alias("mean_installments"),
+        F.count("payment_value").alias("valued"),
+        F.sum("payment_installments").alias("installments"),
+        F.count("payment_installments").alias("in_installments"),
     )
     grand_total = payments.select(F.sum("payment_value")).scalar()
     return types.select(
@@ -184,8 +186,8 @@ def payment_method_performance(t: Mapping[str, DataFrame]) -> DataFrame:
         "payment_records",
         "orders_using_method",
         round_money(F.col("value")).alias("payment_value"),
-        round_rate(F.col("mean_value")).alias("average_payment_record_value"),
-        round_rate(F.col("mean_installments")).alias("average_installments"),
+        round_ratio(F.col("value"), F.col("valued"), places=2).alias("average_payment_record_value"),
+        round_ratio(F.col("installments"), F.col("in_installments")).alias("average_installments"),
         rate_pct(F.col("value"), grand_total).alias("payment_value_share_pct"),
     ).orderBy(F.desc_nulls_first("payment_value"), F.asc_nulls_last("payment_type"))
 
@@ -227,8 +229,8 @@ def delivery_review_relationship(t: Mapping[str, DataFrame]) -> DataFrame:
         .groupBy(label.alias("delivery_timing_band"), number.alias("band_order"))
         .agg(
             F.count("*").alias("delivered_orders"),
-            F.avg("delay_days").alias("mean_delay"),
-            F.sum("average_review_score").alias("review_total"),
+            F.sum("delay_days").alias("delay"),
+            M.review_total().alias("review_total"),
             F.count("average_review_score").alias("reviewed_orders"),
             F.count_if(M.low_review()).alias("low_reviews"),
         )
@@ -237,7 +239,7 @@ def delivery_review_relationship(t: Mapping[str, DataFrame]) -> DataFrame:
         "delivery_timing_band",
         "band_order",
         "delivered_orders",
-        round_rate(F.col("mean_delay")).alias("average_delay_days"),
+        round_ratio(F.col("delay"), F.col("delivered_orders")).alias("average_delay_days"),
         M.average_review_score(),
         M.low_review_rate_pct(),
     ).orderBy("band_order")
@@ -257,7 +259,7 @@ def customer_purchase_frequency(t: Mapping[str, DataFrame]) -> DataFrame:
         "band_order",
         "customers",
         rate_pct(F.col("customers"), everyone).alias("customer_share_pct"),
-        round_rate(ratio(F.col("orders"), F.col("customers"))).alias("average_delivered_orders"),
+        round_ratio(F.col("orders"), F.col("customers")).alias("average_delivered_orders"),
     ).orderBy("band_order")
 
 
@@ -292,7 +294,7 @@ def seller_scorecard(t: Mapping[str, DataFrame]) -> DataFrame:
         F.count("*").alias("delivered_orders"),
         F.sum("item_revenue").alias("revenue"),
         F.count_if("delivered_on_time").alias("on_time"),
-        F.sum("average_review_score").alias("review_total"),
+        M.review_total().alias("review_total"),
         F.count("average_review_score").alias("reviewed_orders"),
         F.count_if(M.low_review()).alias("low_reviews"),
     )
@@ -303,7 +305,7 @@ def seller_scorecard(t: Mapping[str, DataFrame]) -> DataFrame:
             "seller_state",
             "delivered_orders",
             round_money(F.col("revenue")).alias("delivered_gmv"),
-            round_rate(ratio(F.col("revenue"), F.col("delivered_orders"))).alias("average_order_revenue"),
+            round_ratio(F.col("revenue"), F.col("delivered_orders"), places=2).alias("average_order_revenue"),
             rate_pct(F.col("on_time"), F.col("delivered_orders")).alias("on_time_delivery_rate_pct"),
             M.average_review_score(),
             M.low_review_rate_pct(),

@@ -112,6 +112,10 @@ def translate_categories(products: DataFrame, translation: DataFrame | None) ->
         F.col("product_category_name").alias("translated_name"),
         F.col("product_category_name_english").alias("translation"),
     )
+    repeated = names.groupBy("translated_name").agg(F.count("*").alias("n")).where("n > 1 AND translated_name IS NOT NULL")
+    twice = repeated.agg(F.min("translated_name")).first()[0]
+    if twice is not None:
+        raise CleaningError(f"The category translation names '{twice}' more than once, apart from white space.")
     category, english = F.col("product_category_name"), F.col("translation")
     return (
         products.join(names, category == F.col("translated_name"), "left")

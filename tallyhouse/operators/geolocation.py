@@ -14,13 +14,11 @@ REQUIRED = (ZIP, "geolocation_lat", "geolocation_lng", "geolocation_city", "geol
 # Grid widths, coarse to fine, that bound how many rows one median step sees per group: at most some hundred
 # thousand cells for coordinates, and in the end only the values inside one cell of the last width.
 CELL_WIDTHS = (0.002, 0.00000002)
-CELL_LIMIT = 1_000_000.0
 
 
 def _cell(width: float) -> Column:
-    """Grid cell of ``value``; monotone, and values beyond the limit share the outermost cells."""
-    bounded = F.least(F.greatest(F.col("value"), F.lit(-CELL_LIMIT)), F.lit(CELL_LIMIT))
-    return F.floor(bounded / F.lit(width))
+    """Grid cell of ``value``; monotone."""
+    return F.floor(F.col("value") / F.lit(width))
 
 
 def exact_group_median(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -69,6 +69,14 @@ def top_by_gmv(df: DataFrame, name: str, count: int = 10) -> DataFrame:
     return _leading(df, name, count).orderBy(F.asc("delivered_gmv"), name)
 
 
+def cohort_cells(matrix: DataFrame) -> DataFrame:
+    """The filled cells of a cohort matrix as rows: cohort, month, retention_rate_pct."""
+    months = [name for name in matrix.columns if name != "cohort"]
+    if not months:
+        return matrix.select("cohort", F.lit("").alias("month"), F.lit(None).cast("double").alias("retention_rate_pct")).limit(0)
+    return matrix.unpivot("cohort", months, "month", "retention_rate_pct").where("retention_rate_pct IS NOT NULL")
+
+
 def cohort_matrix(cohorts: DataFrame, months: Iterable[int] | None = None) -> DataFrame:
     """Retention by cohort and month number; nobody active is null.
 

@@ -25,7 +25,7 @@ KEY_NAME = re.compile(r"(?:^id$|_id$)", re.IGNORECASE)
 TIMESTAMP_NAME = re.compile(r"(?:date|time|timestamp|_at$)", re.IGNORECASE)
 
 # Text of one column is typed by the narrowest layout all its values follow.
-INTEGER_LAYOUT = r"^\s*[+-]?\d{1,18}\s*$"
+INTEGER_LAYOUT = r"^\s*[+-]?\d+\s*$"
 NUMBER_LAYOUT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 BOOLEAN_TEXTS = ("True", "False", "TRUE", "FALSE", "true", "false")
 
@@ -76,7 +76,7 @@ def column_statistics(df: DataFrame, label: str) -> DataFrame:
         if isinstance(field.dataType, T.StringType):
             booleans = ", ".join(sql.literal(text) for text in BOOLEAN_TEXTS)
             counters += [
-                f"count_if({value} RLIKE {sql.literal(INTEGER_LAYOUT)}) AS integers{i}",
+                f"count_if({value} RLIKE {sql.literal(INTEGER_LAYOUT)} AND try_cast(trim({value}) AS bigint) IS NOT NULL) AS integers{i}",
                 f"count_if({value} RLIKE {sql.literal(NUMBER_LAYOUT)}) AS numbers{i}",
                 f"count_if({value} IN ({booleans})) AS booleans{i}",
             ]

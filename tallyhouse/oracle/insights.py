@@ -6,7 +6,6 @@ from tallyhouse.oracle.analyses import rate
 
 # Months of the test data used as the core window.
 FIRST, LAST = "1993-01-01", "1996-08-01"
-MATRIX_MONTHS = 84
 
 LEADING = "ORDER BY delivered_gmv DESC NULLS FIRST, {name} LIMIT {count}"
 
@@ -49,10 +48,6 @@ CARDS = "\nUNION ALL\n".join(
     ]
 )
 
-MATRIX = ", ".join(
-    f"MAX(retention_rate_pct) FILTER (WHERE month_number = {n}) AS month_{n}" for n in range(MATRIX_MONTHS)
-)
-
 STAGE_VIEWS = {
     "an_core": f"SELECT * FROM {{an_monthly}} WHERE order_month BETWEEN DATE '{FIRST}' AND DATE '{LAST}'",
 }
@@ -62,8 +57,9 @@ STATEMENTS = {
     "eda_02_core_window": "SELECT * REPLACE (CAST(order_month AS VARCHAR) AS order_month) FROM {an_core}",
     "eda_03_top_categories": top("an_category", "category_name", 10),
     "eda_04_top_states": top("an_state", "customer_state", 10),
-    "eda_05_cohort_matrix": f"""
-        SELECT strftime(cohort_month, '%Y-%m') AS cohort, {MATRIX} FROM {{an_cohorts}} GROUP BY 1""",
+    "eda_05_cohort_matrix": """
+        SELECT strftime(cohort_month, '%Y-%m') AS cohort, 'month_' || month_number AS month, retention_rate_pct
+        FROM {an_cohorts}""",
     "eda_06_peak_gmv_month": """
         SELECT CAST(order_month AS VARCHAR) AS order_month, delivered_gmv FROM {an_core}
         ORDER BY delivered_gmv DESC NULLS LAST, order_month LIMIT 1""",

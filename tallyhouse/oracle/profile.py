@@ -63,7 +63,8 @@ def column_row(table: str, position: int, column: str, kind: str) -> str:
     if kind == "string":
         inferred = (
             f"CASE WHEN COUNT({column}) = 0 THEN 'double' "
-            rf"WHEN COUNT(*) FILTER (WHERE regexp_matches({column}, '^\s*[+-]?\d{{1,18}}\s*$')) = COUNT({column}) "
+            rf"WHEN COUNT(*) FILTER (WHERE regexp_matches({column}, '^\s*[+-]?\d+\s*$') "
+            rf"AND TRY_CAST(trim({column}) AS BIGINT) IS NOT NULL) = COUNT({column}) "
             "THEN 'bigint' "
             rf"WHEN COUNT(*) FILTER (WHERE regexp_matches({column}, "
             rf"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$')) = COUNT({column}) THEN 'double' "

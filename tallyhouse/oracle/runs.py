@@ -69,10 +69,6 @@ ANALYTICS_LINEAGE = union(
 MODEL_SOURCES = {table.source: CLEANED[name] for name, table in MARKETPLACE.model.items()}
 
 STATEMENTS = {
-    "src_01_discover_csv_files": union(
-        f"SELECT '{MARKETPLACE.file_name(name)}' AS file_name, COUNT(*) > 0 AS found FROM {{{view}}}"
-        for name, view in GOOD_SOURCES.items()
-    ),
     "src_02_csv_scan": f"""
         SELECT {", ".join(token(c) for c in MARKETPLACE.sources["orders"].columns)} FROM {{raw_orders}}""",
     "src_02_csv_scan_multi_line": f"""

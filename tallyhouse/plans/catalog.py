@@ -132,11 +132,6 @@ def drifted_sources(tb: Testbed) -> dict[str, DataFrame]:
     return tables
 
 
-@register("con_01_schema_checks")
-def _(tb: Testbed) -> DataFrame:
-    return Q.schema_checks(tb.spark, drifted_sources(tb))
-
-
 @register("con_02_key_checks")
 def _(tb: Testbed) -> DataFrame:
     return Q.key_checks(tb.spark, tb.typed_sources())
@@ -442,13 +437,6 @@ def _(tb: Testbed) -> DataFrame:
 # Validation before publishing.
 
 
-@register("ldc_01_column_contract")
-def _(tb: Testbed) -> DataFrame:
-    model = cleaned_model(tb)
-    model["orders"] = model["orders"].drop("dq_has_timestamp_sequence_issue").withColumn("note", F.lit(1))
-    return D.column_differences(tb.spark, model)
-
-
 @register("ldc_02_timestamp_violations")
 def _(tb: Testbed) -> DataFrame:
     times = {name: "timestamp" for name in MARKETPLACE.sources["orders"].of_kind("timestamp")}
@@ -537,7 +525,7 @@ def _(tb: Testbed) -> DataFrame:
 
 @register("eda_05_cohort_matrix")
 def _(tb: Testbed) -> DataFrame:
-    return E.cohort_matrix(A.monthly_customer_cohorts(tb.marketplace()), range(insights_oracle.MATRIX_MONTHS))
+    return E.cohort_cells(E.cohort_matrix(A.monthly_customer_cohorts(tb.marketplace())))
 
 
 @register("eda_06_peak_gmv_month")
@@ -650,12 +638,6 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-@register("src_01_discover_csv_files")
-def _(tb: Testbed) -> DataFrame:
-    files = source.discover_csv_files(tb.spark, written_sources(tb))
-    return files.groupBy("file_name").agg((F.count("*") > 0).alias("found"))
-
-
 @register("src_02_csv_scan")
 def _(tb: Testbed) -> DataFrame:
     path = f"{scratch_folder(tb.spark, 'csv')}/raw_orders.csv"

@@ -39,7 +39,6 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **set
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 64 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 UNKNOWN_SIZE = 1 << 60
 
 
@@ -58,7 +57,7 @@ def size_shuffles(spark: SparkSession, *tables: DataFrame, bytes_per_partition:
     """
     total = sum(_scanned_bytes(table) for table in tables)
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-total // bytes_per_partition), MOST_PARTITIONS)
+    wanted = -(-total // bytes_per_partition)
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
         return wanted

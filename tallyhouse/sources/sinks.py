@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +22,6 @@ CSV_OPTIONS = {
     "dateFormat": "yyyy-MM-dd",
 }
 
-# Files up to this size are hashed from one row; larger ones are streamed.
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
-CHUNK_BYTES = 1024 * 1024
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -55,31 +50,13 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first().value)
 
 
-def _stream_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 of large files, read in chunks."""
-    from pyarrow import fs
+def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, length, sha256) of every non-empty file at or below the paths; files are spread over tasks.
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            uri = path.replace("file:/", "file:///", 1) if not path.startswith("file://") else path
-            system, place = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(place) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "length": batch["length"], "sha256": digests})
-
-
-def file_digests(spark: SparkSession, *paths: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, length, sha256) of every non-empty file at or below the paths; files are spread over tasks."""
+    A file is read as one value, so it must be smaller than 2 GB; larger tables are folders of part files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    small = files.filter(F.col("length") <= whole_file_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("sha256")
-    )
-    large = files.filter(F.col("length") > whole_file_bytes).select("path", "length")
-    return small.unionByName(large.mapInPandas(_stream_digest, "path string, length bigint, sha256 string"))
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def table_digests(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

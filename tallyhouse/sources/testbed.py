@@ -66,11 +66,9 @@ VIEWS = {
                l_shipdate AS shipping_limit_date, {_PRICE} AS price, {_FREIGHT} AS freight_value
         FROM {{lineitem}}""",
     "mk_lines": """
-        SELECT * FROM (
-            SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS seq
-            FROM {lineitem}) AS numbered
-        WHERE seq <= 2""",
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+            l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS seq
+        FROM {lineitem}""",
     "mk_payments": f"""
         SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(seq AS INT) AS payment_sequential,
                CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto' ELSE 'voucher' END AS payment_type,
@@ -83,7 +81,7 @@ VIEWS = {
                CASE WHEN l_linenumber % 2 = 0 THEN concat('message ', l_returnflag) END AS review_comment_message,
                l_shipdate AS review_creation_date,
                l_shipdate + (l_linenumber - 2) * INTERVAL '1' DAY AS review_answer_timestamp
-        FROM {mk_lines} WHERE l_linestatus = 'F'""",
+        FROM {mk_lines}""",
     "mk_categories": """
         SELECT DISTINCT lower(p_type) AS product_category_name,
                concat('cat_', lower(p_type)) AS product_category_name_english

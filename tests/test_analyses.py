@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.rounding import rate_pct, round_ratio
 from tallyhouse.operators import analyses as A
 from tallyhouse.operators import insights as E
 from tallyhouse.operators import stages as S
@@ -175,3 +176,13 @@ def test_hot_customer_reaches_the_customer_join_as_one_row(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     join = plan.index("Join")
     assert "Aggregate [customer_id" in plan[join:]
+
+
+def test_rates_are_rounded_once(spark):
+    pairs = [(100249999999, 5000000000000), (1, 800), (-1, 800), (201, 20000), (0, 5), (3, 0), (None, 5)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    found = [row[0] for row in df.select(rate_pct(F.col("a"), F.col("b"))).collect()]
+    assert found == [2.0, 0.13, -0.13, 1.01, 0.0, None, None]
+    halves = spark.createDataFrame([("0.01", 2), ("0.03", 2), ("2.50", 1000)], "a string, b bigint")
+    money = F.col("a").cast("decimal(14,2)")
+    assert [row[0] for row in halves.select(round_ratio(money, F.col("b"), places=2)).collect()] == [0.01, 0.02, 0.0]

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyhouse.plans.catalog import catalog_oracle, catalog_queries
 from tallyhouse.sources.testbed import TABLE_SCHEMAS
 
 FOLDER = "/root/testdata/sf0.001"
-ALL = os.environ.get("TALLYHOUSE_ALL_QUERIES") == "1"
-STATEMENTS = entry_points.oracle_sql()
-CHOSEN = [
-    key for key in STATEMENTS if ALL or key.startswith(("stg_", "ana_0", "ana_10", "con_", "cln_0", "cln_12", "chk_15"))
-]
+STATEMENTS = catalog_oracle()
 
 
 @pytest.fixture(scope="module")
@@ -34,9 +29,9 @@ def by_text(row):
     return tuple((value is None, str(value)) for value in row)
 
 
-@pytest.mark.parametrize("key", CHOSEN)
+@pytest.mark.parametrize("key", STATEMENTS)
 def test_query_equals_statement(spark, database, key):
-    frame = entry_points.queries()[key](spark, FOLDER)
+    frame = catalog_queries()[key](spark, FOLDER)
     cursor = database.execute(STATEMENTS[key])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(frame.columns)
@@ -47,7 +42,7 @@ def test_query_equals_statement(spark, database, key):
 
 
 def test_every_statement_has_a_query():
-    assert set(STATEMENTS) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry_has_one_row(spark):

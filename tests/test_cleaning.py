@@ -128,3 +128,10 @@ def test_median_equals_brute_force_for_hot_and_small_groups(spark):
             values = [row[i] for row in data if row[0] == key and row[i] is not None]
             assert found[key][column] == (statistics.median(values) if values else None)
     assert 6 not in found
+
+
+def test_translation_names_must_be_unique_after_stripping(spark):
+    products = spark.createDataFrame([("p", "perf")], "product_id string, product_category_name string")
+    names = spark.createDataFrame([("perf", "a"), (" perf", "b")], "product_category_name string, product_category_name_english string")
+    with pytest.raises(C.CleaningError, match="perf"):
+        C.translate_categories(products, names)

@@ -83,3 +83,8 @@ def test_column_quality_and_warnings(spark):
 def test_flag_counts_ignore_null(spark):
     df = spark.createDataFrame([(True, 1), (None, 2), (False, 3)], "dq_x boolean, y int")
     assert [tuple(r) for r in P.flag_counts(df).collect()] == [("dq_x", 1)]
+
+
+def test_integers_are_what_a_bigint_holds(spark):
+    df = spark.createDataFrame([("9223372036854775807", "9223372036854775808")], "fits string, beyond string")
+    assert rows(P.column_statistics(df, "t").orderBy("position"), "inferred_type") == ["bigint", "double"]

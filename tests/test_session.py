@@ -34,8 +34,8 @@ def test_scratch_is_below_the_shared_folder(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize(
     ("view", "count"),
     [
-        ("mk_customers", 1500), ("mk_orders", 15_000), ("mk_items", 60_000), ("mk_payments", 28_366),
-        ("mk_reviews", 14_152), ("mk_products", 2000), ("mk_categories", 5), ("mk_sellers", 100), ("mk_geo", 1500),
+        ("mk_customers", 1500), ("mk_orders", 15_000), ("mk_items", 60_000), ("mk_payments", 60_000),
+        ("mk_reviews", 60_000), ("mk_products", 2000), ("mk_categories", 5), ("mk_sellers", 100), ("mk_geo", 1500),
     ],
 )
 def test_view_sizes(spark, view, count):
