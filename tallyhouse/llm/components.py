@@ -46,3 +46,23 @@ def components(edges: DataFrame) -> DataFrame:
             break
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: the links join components, which are relabelled; without links nothing is done.
+
+    labels has node and component (nodes without an edge are absent), links has a and b.
+    """
+    if links.isEmpty():
+        return labels
+    ends = links.select("a", "b")
+    for side in ("a", "b"):
+        own = labels.select(F.col("node").alias(side), F.col("component").alias("_found"))
+        ends = ends.join(own, side, "left").withColumn(f"{side}_in", F.coalesce("_found", side)).drop("_found")
+    ends = stored(ends, "joins")
+    merged = stored(components(ends.select(F.col("a_in").alias("a"), F.col("b_in").alias("b"))), "merged")
+    nodes = ends.select(F.col("a").alias("node"), F.col("a_in").alias("component")).union(ends.select("b", "b_in")).distinct()
+    every = labels.union(nodes.join(labels, "node", "left_anti"))
+    now = merged.select(F.col("node").alias("component"), F.col("component").alias("lowest"))
+    out = every.join(now, "component", "left").select("node", F.coalesce("lowest", "component").alias("component"))
+    return stored(out, "components")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.bytes import LOWER, blocks, byte_table, mixed, prefix_hashes, substring_hashes, text_bytes, words
-from tallyhouse.llm.components import components
+from tallyhouse.llm.components import components, joined_components
 from tallyhouse.llm.session import stored
 
 SHINGLE_WORDS = 5
@@ -251,10 +251,9 @@ def similar(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nda
     return (union > 0) & (100 * both >= percent * union)
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the documents in pairs (a, b)."""
-    used = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    return stored(docs.join(used, "doc_id", "left_semi"), "texts")
+def _used(pairs: DataFrame) -> DataFrame:
+    """Ids of the documents in pairs (a, b)."""
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
@@ -302,15 +301,15 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     shared = stored(_with_centers(stored(_candidates(docs, length, percent), "signatures")), "candidates")
     pairs = shared.where("doc <> center").groupBy(F.col("doc").alias("a"), F.col("center").alias("b")).agg(F.count("*").alias("n"))
     pairs = stored(pairs.join(_possible(pairs.select("a", "b"), sketched, percent), ["a", "b"]), "pairs")
-    texts = _texts(docs, pairs)
+    # These ids grow with the documents, so they are merged at every size rather than broadcast at small ones.
+    texts = stored(docs.join(_used(pairs).hint("merge"), "doc_id", "left_semi"), "texts")
     # The center that shares most signatures, once per document.
     first = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     edges = stored(_verified(first, texts, length, percent).union(copies), "links")
     labels = stored(components(edges), "components")
     # Other centers, where the components differ.
     rest = _with_components(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels, "a", "b").where("a_in <> b_in").select("a", "b")
-    edges = stored(edges.union(_verified(rest, texts, length, percent)), "links")
-    labels = stored(components(edges), "components")
+    labels = joined_components(labels, stored(_verified(rest, texts, length, percent), "links"))
     # Signatures whose documents are still apart: members other than the center, across components.
     placed = _with_components(shared, labels, "doc")
     apart = placed.groupBy("sig").agg(F.min("doc_in").alias("low"), F.max("doc_in").alias("high")).where("low < high").select("sig")
@@ -318,8 +317,9 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     left, right = open_.alias("l"), open_.alias("r")
     across = left.join(right, (F.col("l.sig") == F.col("r.sig")) & (F.col("l.doc") < F.col("r.doc")) & (F.col("l.doc_in") != F.col("r.doc_in")) & _can_link("l", "r", percent))
     across = stored(across.select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b")).distinct(), "across")
-    edges = stored(edges.union(_verified(across, _texts(docs, across), length, percent)), "links")
-    return stored(components(edges), "components")
+    if across.isEmpty():
+        return labels
+    return joined_components(labels, stored(_verified(across, docs.join(_used(across), "doc_id", "left_semi"), length, percent), "links"))
 
 
 def grouped(docs: DataFrame, length: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
