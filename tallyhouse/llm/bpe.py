@@ -6,8 +6,8 @@ back one token. Two tokens are compatible if merging would have kept the boundar
 answers, so the result equals that of applying the merges in order, in linear time. Decoding gathers the bytes of all
 ids from one array of token bytes and its offsets.
 
-Texts are cut into pieces as the tokenizer does, and each distinct piece of a worker is encoded once (the memory is
-bounded by ``PIECES_KEPT``; it changes the speed, never the result). Special tokens in a text become their ids.
+Texts are cut into pieces as the tokenizer does, and each distinct piece of a worker is encoded once (memory is
+bounded by ``PIECES_KEPT`` and ``PAIRS_KEPT``, which change the speed, never the result). Special tokens in a text become their ids.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise;
 an input column with the name of an added one is replaced.
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from tallyhouse.llm.session import others
 
 VOCABULARY = "byte_bpe_50k.json"
-PIECES_KEPT = 400_000
+PIECES_KEPT = 150_000
+PAIRS_KEPT = 300_000
 
 # The white space and the piece pattern of the byte-level pre-tokenizer.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -91,7 +92,7 @@ class Vocabulary:
         """Whether the boundary between two adjacent tokens survives all merges."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) > 4 * PIECES_KEPT:
+            if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
             known = self.pairs[left, right] = self._survives(left, right)
         return known
@@ -237,6 +238,27 @@ def decode_ids(docs: DataFrame, ids_column: str = "token_ids", text_column: str
     return docs.mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """The documents with n_tokens, token_ids, and round_trip: whether the ids decode to the text; in one pass."""
+    docs = others(docs, "n_tokens", "token_ids", "round_trip")
+    added = [("n_tokens", T.LongType()), ("token_ids", T.ArrayType(T.IntegerType())), ("round_trip", T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(name, kind) for name, kind in added]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = encoder(vocabulary)
+        for batch in batches:
+            texts = batch.column(text_column).to_pylist()
+            ids = [tool.encode(text) for text in texts]
+            columns = [
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                pa.array([tool.decode(x) == (text or "") for x, text in zip(ids, texts, strict=True)], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def round_trip_report(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Per document: number of ids, and digests of the ids and of the text decoded from them."""
 
