@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe, decontaminate, jaccard, quality, secrets
 from tallyhouse.llm.session import prepare, stored, table
@@ -43,9 +42,7 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether decoding them gives the text again."""
     prepare(spark)
-    both = bpe.decode_ids(bpe.encode_texts(docs))
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.select(*docs.columns, F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
+    return bpe.encode_checked(docs)
 
 
 STAGES = [
