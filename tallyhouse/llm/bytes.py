@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are gathered up to this many bytes before a vectorised step; one longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 # An odd multiplier for polynomial hashes modulo 2^64 and the constants of the 64-bit finaliser.
 BASE = 0x9E3779B97F4A7C15
