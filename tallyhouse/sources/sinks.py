@@ -104,6 +104,47 @@ def publish_staged(spark: SparkSession, staged: str, target: str, names: list[st
     system.delete(path(staged), True)
 
 
+POINTER = "CURRENT"
+
+
+def version_folder(target: str) -> str:
+    """A new folder for a whole set of tables below the target; readers do not see it before the switch."""
+    return f"{target.rstrip('/')}/versions/{uuid.uuid4().hex}"
+
+
+def switch_version(spark: SparkSession, version: str, target: str) -> None:
+    """Make a complete version the current one by one rename of the pointer file, then remove older versions.
+
+    Readers get the old set or the new one, never a mixture. The version before stays for readers that have it open.
+    """
+    before = current_version(spark, target)
+    jvm = spark.sparkContext._jvm
+    fs, path = jvm.org.apache.hadoop.fs, jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    files = path(target).getFileSystem(configuration)
+    draft = path(f"{version}.pointer")
+    with_name = files.create(draft, True)
+    with_name.write(bytearray(version.rsplit("/", 1)[-1].encode()))
+    with_name.close()
+    overwrite = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(overwrite, 1)
+    options[0] = overwrite.OVERWRITE
+    context = fs.FileContext.getFileContext(files.getUri(), configuration)
+    context.rename(files.makeQualified(draft), files.makeQualified(path(f"{target}/{POINTER}")), options)
+    keep = {version.rsplit("/", 1)[-1], (before or "").rsplit("/", 1)[-1]}
+    for status in files.listStatus(path(f"{target}/versions")):
+        if status.getPath().getName() not in keep:
+            files.delete(status.getPath(), True)
+
+
+def current_version(spark: SparkSession, target: str) -> str | None:
+    """Folder of the current version, or None where nothing was published."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{POINTER}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return f"{target.rstrip('/')}/versions/{spark.read.text(f'{target}/{POINTER}').first().value}"
+
+
 def discard_staged(spark: SparkSession, staged: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(staged)
