@@ -196,18 +196,21 @@ def declared_constraints(tables: Tables, contracts: ContractSet = MARKETPLACE) -
 
 
 def processed_summary(tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
-    """Rows and columns per processed table."""
-    return union_all(
+    """Rows and columns per processed table, and whether all its domain rules hold."""
+    counts = union_all(
         tables[table.name].agg(F.count("*").alias("row_count")).select(
             F.lit(f"{table.source}.csv").alias("file_name"),
             F.lit(f"{SCHEMA}.{table.name}").alias("table_name"),
             "row_count",
             F.lit(len(tables[table.name].columns)).cast("bigint").alias("column_count"),
-            F.lit("passed").alias("status"),
         )
         for table in contracts.model.values()
         if table.name in tables
     )
+    broken = validate_domains(tables, contracts).where("status = 'failed'").select("table_name").distinct()
+    return counts.join(broken.withColumn("status", F.lit("failed")), "table_name", "left").select(
+        "file_name", "table_name", "row_count", "column_count", F.coalesce("status", F.lit("passed")).alias("status")
+    )
 
 
 def raise_on_failed(report: DataFrame, what: str, name_column: str = "check_name") -> None:

@@ -252,6 +252,8 @@ SUMMARY = union(
     for t in MARKETPLACE.model.values()
 )
 
+DOMAINS = union([*NOT_NULL, *MAX_LENGTH, *STATE_LENGTH, *STATUSES, *AMOUNTS, *PAYMENTS, *SCORES, *COORDINATES])
+
 STATEMENTS = {
     "cln_01_strip_text": f"""
         SELECT customer_id, customer_unique_id, {text('customer_zip_code_prefix')} AS customer_zip_code_prefix,
@@ -316,12 +318,13 @@ STATEMENTS = {
     "ldc_09_payment_amounts": union(PAYMENTS),
     "ldc_10_review_score": union(SCORES),
     "ldc_11_coordinates": union(COORDINATES),
-    "ldc_12_domain_report": union(
-        [*NOT_NULL, *MAX_LENGTH, *STATE_LENGTH, *STATUSES, *AMOUNTS, *PAYMENTS, *SCORES, *COORDINATES]
-    ),
+    "ldc_12_domain_report": DOMAINS,
     "ldc_13_uniqueness": union(UNIQUE),
     "ldc_14_foreign_keys": union(REFERENCES),
     "ldc_15_row_constraints": union(DECLARED),
     "ldc_15_all_declared": union([*UNIQUE, *REFERENCES, *DECLARED]),
-    "val_01_processed_summary": SUMMARY,
+    "val_01_processed_summary": f"""
+        SELECT s.* REPLACE (CASE WHEN table_name IN (SELECT table_name FROM ({DOMAINS}) AS d WHERE status = 'failed')
+                                 THEN 'failed' ELSE 'passed' END AS status)
+        FROM ({SUMMARY}) AS s""",
 }
