@@ -32,11 +32,6 @@ def test_no_product_no_python_no_global_window(spark, key):
         assert ", []" not in window.split("AS", 1)[-1].split("],")[-2:][0], window
 
 
-def test_line_number_window_keeps_two_rows_before_the_shuffle(spark):
-    plan = physical(Testbed(spark, FOLDER)["mk_payments"])
-    assert plan.index("row_number(), 2, Final") < plan.index("Exchange") < plan.index("row_number(), 2, Partial")
-
-
 def test_scans_read_only_needed_columns_and_push_filters(spark):
     tables = Testbed(spark, FOLDER).marketplace()
     plan = physical(A.order_status_distribution(tables))
