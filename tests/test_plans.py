@@ -49,8 +49,7 @@ def test_order_joins_reuse_the_partitioning_of_their_aggregates(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffles = re.findall(r"Exchange hashpartitioning\(([^,]+)", plan)
-    # Three inputs, and the shuffle that ranks the lines of an order for the reviews.
-    assert len(shuffles) == 4, plan
+    assert len(shuffles) == 3, plan
 
 
 def test_forced_shuffle_joins_give_the_same_result(spark):
