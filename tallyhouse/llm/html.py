@@ -4,9 +4,14 @@ A page is cut into flat blocks at block-level tags. Each has its word count, the
 links, the same of the blocks before and after it, and what its open elements say about the region. A small decision
 tree, grown here on the labelled table of ``training_rows``, keeps or drops each block.
 
-Defined cases: null and empty pages, and pages without a kept block, give the empty text; unclosed tags, comments and
-scripts end with the page; unknown tags are block-level; unfinished character references stay as they are. Pages do
-not depend on each other, so repeated rows give equal results; other columns pass through.
+Unseen elements are open elements like others, their text is left out. A head ends at the first tag or text that
+cannot stand in it. An unseen element that is never closed ends with an element around it or at the next tag of a block
+or landmark; a title or frame without an end tag likewise, a script or style at an end tag of its parent or the next
+landmark.
+
+Defined cases: null and empty pages, and pages without a kept block, give the empty text; unclosed comments, and unclosed
+tags where nothing named above follows, end with the page; unknown tags are block-level; unfinished character references
+stay as they are. Pages do not depend on each other, so repeated rows give equal results; other columns pass through.
 """
 
 from __future__ import annotations
@@ -30,12 +35,18 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # HTML's elements without content, of running text, of unseen content, and its landmarks; and names in
 # use for regions.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-UNSEEN = frozenset("script style noscript template textarea title select iframe svg math object canvas button audio video head datalist".split())
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+UNSEEN = frozenset("script style noscript template textarea title select iframe svg object canvas button audio video head datalist annotation annotation-xml".split())
 RAW = frozenset("script style textarea title iframe".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
+SEALED = frozenset("noscript object select template".split())  # no end tag of an element around them ends them
+FOREIGN = frozenset("svg math".split())  # where a slash closes a tag
 REGION = frozenset("nav footer aside form menu dialog search".split())
 MAIN = frozenset("article main".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+LANDMARK = REGION | MAIN | frozenset("body header".split())
+LANDMARK_TAG, BLOCK_TAG = ("<(?:" + "|".join(sorted(tags)) + r")(?=[\s/>])" for tags in (LANDMARK, LANDMARK | ENDS_PARAGRAPH))
 SIDE_NAMES = frozenset(
     "ad ads adv advert advertisement advertising banner promo promotion sponsor sponsored sponsors cookie cookies consent notice notices gdpr alert newsletter subscribe subscription signup popup modal overlay "
     "menu nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets related recommended recommendations share sharing social footer masthead copyright legal login search searchbox toolbar skip "
@@ -53,6 +64,7 @@ class Element:
     side: bool
     comment: bool
     main: bool
+    unseen_from: int | None = None  # where the tag of an unseen element is
 
 
 @dataclass
@@ -87,12 +99,57 @@ def _open_block(stack: list[Element]) -> Block:
     return Block(tag, within or header, around, any(e.comment for e in stack), inner >= 0)
 
 
+def _raw_end(page: str, tag: str, at: int, parent: str | None, foreign: bool, without_end: set[str]) -> int:
+    """Where the raw text of an element ends that begins at ``at``; ``without_end`` collects tags with no end tag left."""
+    if foreign:
+        stop = re.compile(rf"</(?:{tag}(?=[\s/>])[^>]*>|(?=svg|math))", re.I).search(page, at)
+        if stop:
+            return stop.end() if stop[0] != "</" else stop.start()
+    if tag not in without_end:
+        stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+        if stop:
+            return stop.end()
+        without_end.add(tag)
+    ends = LANDMARK_TAG if tag in ("script", "style") else BLOCK_TAG  # code may hold tags as text
+    if parent:
+        ends = rf"</{re.escape(parent)}(?=[\s/>])|{ends}"
+    stop = re.compile(ends, re.I).search(page, at)
+    return stop.start() if stop else len(page)
+
+
+def _closed(page: str) -> set[int]:
+    """Places of the tags of unseen elements that have an end tag of their own."""
+    out: set[int] = set()
+    opened: dict[str, list[int]] = {tag: [] for tag in UNSEEN | FOREIGN}
+    without_end: set[str] = set()
+    at = 0
+    while at < len(page):
+        found = TOKEN.match(page, at)
+        start, at = at, found.end()
+        tag = (found["tag"] or found["tag2"] or "").lower()
+        if tag not in opened:
+            continue
+        slash = (found["rest"] or "").endswith("/")
+        if found["end"] or found["end2"]:
+            if opened[tag]:
+                out.add(opened[tag].pop())
+        elif tag in RAW:
+            foreign = any(opened[t] for t in FOREIGN)
+            if not (foreign and slash):
+                at = _raw_end(page, tag, at, None, foreign, without_end)
+        elif not slash:
+            opened[tag].append(start)
+    return out
+
+
 def flat_blocks(page: str) -> list[tuple[str, float, Block]]:
     """Text, share of linked characters and region of every block with text, in page order."""
     out: list[tuple[str, float, Block]] = []
     stack: list[Element] = []
     block: Block | None = None
-    unseen: str | None = None
+    unseen: int | None = None  # place in the stack of the outermost unseen element
+    closed: set[int] | None = None
+    without_end: set[str] = set()
     links = at = 0
 
     def close() -> None:
@@ -103,11 +160,27 @@ def flat_blocks(page: str) -> list[tuple[str, float, Block]]:
                 out.append((text, min(1.0, len(" ".join("".join(block.linked).split())) / len(text)), block))
             block = None
 
+    def cut(place: int) -> None:
+        """The open elements from this place end."""
+        nonlocal links, unseen
+        links -= sum(e.tag == "a" for e in stack[place:])
+        del stack[place:]
+        if unseen is not None and place <= unseen:
+            unseen = None
+
+    def is_closed(element: Element) -> bool:
+        nonlocal closed
+        if closed is None:
+            closed = _closed(page)
+        return element.unseen_from in closed
+
     while at < len(page):
         found = TOKEN.match(page, at)
-        at = found.end()
+        start, at = at, found.end()
         text = found["text"]
         if text is not None:
+            if unseen is not None and stack[-1].tag == "head" and not text.isspace():
+                cut(len(stack) - 1)
             if unseen is None:
                 block = block or _open_block(stack)
                 text = html.unescape(text)
@@ -118,18 +191,46 @@ def flat_blocks(page: str) -> list[tuple[str, float, Block]]:
         tag = (found["tag"] or found["tag2"] or "").lower()
         if not tag:
             continue
-        ends = bool(found["end"] or found["end2"])
+        rest = found["rest"] or ""
+        if found["end"] or found["end2"]:
+            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
+            if unseen is not None:
+                if place is None:
+                    continue
+                if place >= unseen:
+                    cut(place)
+                    continue
+                if any(e.tag in SEALED and e.unseen_from is not None and is_closed(e) for e in stack[unseen:]):
+                    continue
+            if tag not in INLINE:
+                close()
+            elif tag == "br" and block is not None:
+                block.parts.append(" ")
+            if tag not in VOID and place is not None and not (tag in INLINE and any(e.tag not in INLINE for e in stack[place:unseen])):
+                cut(place)
+            continue
+        if unseen is not None:
+            if tag in ENDS_PARAGRAPH or tag in LANDMARK:
+                place = next((i for i in range(unseen, len(stack)) if stack[i].tag != "head" and stack[i].unseen_from is not None and not is_closed(stack[i])), None)
+                if place is not None:
+                    cut(place)
+            if unseen is not None and stack[-1].tag == "head" and tag not in IN_HEAD:
+                cut(len(stack) - 1)
+        foreign = (tag in RAW or rest.endswith("/")) and any(e.tag in FOREIGN for e in stack)
+        if foreign and rest.endswith("/") and tag not in VOID:
+            continue
+        if tag in RAW:
+            at = _raw_end(page, tag, at, stack[-1].tag if stack else None, foreign, without_end)
+            continue
+        if tag in UNSEEN:
+            if not rest.endswith("/"):
+                unseen = len(stack) if unseen is None else unseen
+                stack.append(Element(tag, False, False, False, start))
+            continue
         if unseen is not None:
-            if tag == unseen and ends or unseen == "head" and tag == "body":
-                unseen = None
-            if tag != "body":
-                continue
-        if tag in UNSEEN and not ends:
-            if tag in RAW:
-                stop = re.compile(f"</{tag}[^>]*(?:>|$)", re.I).search(page, at)
-                at = stop.end() if stop else len(page)
-            elif not (found["rest"] or "").endswith("/"):
-                unseen = tag
+            if tag not in VOID:
+                stack.append(Element(tag, False, False, False))
+                links += tag == "a"
             continue
         if tag not in INLINE:
             close()
@@ -137,19 +238,12 @@ def flat_blocks(page: str) -> list[tuple[str, float, Block]]:
             block.parts.append(" ")
         if tag in VOID:
             continue
-        if ends:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if place is not None and not (tag in INLINE and any(e.tag not in INLINE for e in stack[place:])):
-                links -= sum(e.tag == "a" for e in stack[place:])
-                del stack[place:]
-        else:
-            if tag in ENDS_PARAGRAPH:
-                place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in INLINE), None)
-                if place is not None and (stack[place].tag == "p" or tag == "li" and stack[place].tag == "li"):
-                    links -= sum(e.tag == "a" for e in stack[place:])
-                    del stack[place:]
-            stack.append(_element(tag, found["rest"] or found["rest2"] or ""))
-            links += tag == "a"
+        if tag in ENDS_PARAGRAPH:
+            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in INLINE), None)
+            if place is not None and (stack[place].tag == "p" or tag == "li" and stack[place].tag == "li"):
+                cut(place)
+        stack.append(_element(tag, rest or found["rest2"] or ""))
+        links += tag == "a"
     close()
     return out
 
