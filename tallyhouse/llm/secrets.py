@@ -2,10 +2,10 @@
 
 Patterns give parts of three roles: access identifiers, secrets and endpoints. Strong parts (the base kinds) are
 always reported. Weak parts - short or named identifiers, short assigned or bare mixed tokens, addresses - are
-reported only where an interval join finds their complement: another role's part in the same scope (a paragraph, i.e.
-text between blank lines) at most ``REACH`` characters away. An identifier needs a secret, a secret needs an
-identifier or an endpoint, an endpoint needs both. The join sorts the parts of a scope by start and keeps running
-maxima of their ends, so no pairs are formed. Parts belong to one text, so nothing is shuffled.
+reported only where an interval join finds their complement: another role's part anywhere in the same scope, a
+paragraph, i.e. text between blank lines, whatever the distance. An identifier needs a secret, a secret needs an
+identifier or an endpoint, an endpoint needs both. The scopes are the intervals of the join: every part falls into one, and
+the roles of each are collected, so no pairs are formed. Parts belong to one text, so nothing is shuffled.
 
 Defined cases: null and empty texts have no spans; equal spans of one kind are reported once; overlapping spans of
 different kinds all are; other columns pass through, but one with the name of the added one is replaced.
@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from tallyhouse.llm.session import others
 
-REACH = 200
 MASK = "<secret>"
 KINDS = ("assign", "access", "hex", "named_id", "weak_secret", "endpoint")
 BASE_KINDS = KINDS[:3]
@@ -38,7 +37,7 @@ NAMED_ID = re.compile(r"""(access_?key(?:_?id)?|client_?id|user(?:_?name)?|login
 NAMED_SECRET = re.compile(r"""(pwd|pass|private_?key|secret_?access_?key|credential)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""", _ANY)
 BARE_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 ENDPOINT = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s\"'<>]+")
-PARAGRAPH = re.compile(r"\n[ \t]*\n")
+PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 SEPARATOR = re.compile(r"[:=]")
 SHORT_ASSIGN, LONG_ASSIGN, LONG_ACCESS = 6, 12, 18
 
@@ -83,37 +82,19 @@ def weak_parts(text: str) -> list[Span]:
 ROLE = {"access": "id", "named_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "endpoint": "endpoint"}
 
 
-class _Side:
-    """Parts of one role in one scope, searchable by overlap."""
-
-    def __init__(self, spans: list[tuple[int, int]]):
-        spans.sort()
-        self.starts = [a for a, _ in spans]
-        self.furthest, most = [], -1
-        for _, b in spans:
-            most = max(most, b)
-            self.furthest.append(most)
-
-    def overlaps(self, low: int, high: int) -> bool:
-        n = bisect_left(self.starts, high)
-        return n > 0 and self.furthest[n - 1] > low
-
-
-def linked(text: str, strong: list[Span], weak: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak spans whose complementary parts lie within reach in their scope."""
+def linked(text: str, strong: list[Span], weak: list[Span]) -> list[Span]:
+    """Weak spans whose complementary parts lie in their scope."""
     if not weak:
         return []
     breaks = [m.start() for m in PARAGRAPH.finditer(text)]
-    sides: dict[tuple[int, str], list[tuple[int, int]]] = defaultdict(list)
-    for kind, start, stop in {*strong, *weak}:
-        sides[bisect_left(breaks, start), ROLE[kind]].append((start, stop))
-    joined = {key: _Side(spans) for key, spans in sides.items()}
+    roles: dict[int, set[str]] = defaultdict(set)
+    for kind, start, _ in {*strong, *weak}:
+        roles[bisect_left(breaks, start)].add(ROLE[kind])
     out = []
     for kind, start, stop in sorted(set(weak)):
-        scope = bisect_left(breaks, start)
-        near = {role: (scope, role) in joined and joined[scope, role].overlaps(start - reach, stop + reach) for role in ("id", "secret", "endpoint")}
+        found = roles[bisect_left(breaks, start)]
         role = ROLE[kind]
-        if role == "id" and near["secret"] or role == "secret" and (near["id"] or near["endpoint"]) or role == "endpoint" and near["id"] and near["secret"]:
+        if role == "id" and "secret" in found or role == "secret" and ("id" in found or "endpoint" in found) or role == "endpoint" and "id" in found and "secret" in found:
             out.append((kind, start, stop))
     return out
 
