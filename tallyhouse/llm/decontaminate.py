@@ -2,11 +2,13 @@
 
 A shard is a block of training texts. Its suffix array holds the word positions whose first words also begin a test
 suffix (no other position can match one), sorted by the following ``window`` words. Every test suffix is looked up in
-every shard by binary search; the range found gives all its locations. The longest verbatim match of a document comes
-from locations that continue each other. Shards stay where the input partitions are: nothing is shuffled.
+every shard by binary search; the range found gives all its locations. The longest verbatim match of a document is the
+longest run of words from a location that stands in one item, searched in a suffix array of the items; a match of a whole
+short item counts as well. Shards stay where the input partitions are: nothing is shuffled.
 
 Defined cases: a null or empty text has no words; test items without words never match; an item of fewer words than
-the window is one window; repeated items and rows are each reported; ties do not matter, as all locations are kept.
+the window is one window; rows that repeat an item_id are searched each and reported as one item, items of different
+ids with the same text are each reported, as are repeated rows; ties do not matter, as all locations are kept.
 Items are read by the driver in blocks of at most ``ITEM_BLOCK_BYTES``; more blocks mean more passes over the
 documents, whose spans are then merged per row.
 """
@@ -29,6 +31,7 @@ WINDOW = 10
 ITEM_BLOCK_BYTES = 16 << 20
 LEAD_WORDS = 3  # words of a test suffix that a training position must share to enter a suffix array
 LEAD_BITS = 22
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 IS_WORD = byte_table("abcdefghijklmnopqrstuvwxyz0123456789", wide=True)
 
@@ -59,6 +62,60 @@ def lead_key(hashes: np.ndarray, width: int) -> np.ndarray:
     return (mixed(key) >> np.uint64(64 - LEAD_BITS)).astype(np.int64)
 
 
+def _sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and sums of words times them before each position."""
+    power = np.ones(len(hashes) + 1, np.uint64)
+    power[1:] = np.cumprod(np.full(len(hashes), _BASE))
+    return power, np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:-1], dtype=np.uint64)])
+
+
+class ItemWords:
+    """The words of items one after the other, a 0 behind each item, and the places of words in suffix order."""
+
+    def __init__(self, hashes: np.ndarray, bounds: np.ndarray):
+        counts = np.diff(bounds)
+        place = np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)
+        self.words = np.zeros(len(hashes) + len(counts), np.uint64)
+        self.words[place] = hashes
+        self.ends = np.zeros(len(self.words), np.int64)
+        self.ends[place] = np.repeat(np.cumsum(counts + 1) - 1, counts)
+        self.power, self.sums = _sums(self.words)
+        n, step, most = len(self.words), 1, int(counts.max(initial=0)) + 1
+        rank = np.unique(self.words, return_inverse=True)[1].astype(np.int64)
+        while step < most:
+            beyond = np.zeros(n, np.int64)
+            beyond[: max(n - step, 0)] = rank[step:] + 1
+            rank = np.unique(rank * (n + 1) + beyond, return_inverse=True)[1].astype(np.int64)
+            step *= 2
+        self.order = place[np.argsort(rank[place], kind="stable")]
+
+    def longest(self, hashes: np.ndarray, stops: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For positions of a text and the ends of their texts, the most words from there that stand in one item.
+
+        A binary search by suffix; it visits both neighbours of the position, one of which has the most words in common.
+        """
+        power, sums = _sums(hashes)
+        low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.order), np.int64)
+        best = np.zeros(len(at), np.int64)
+        while True:
+            open_ = np.flatnonzero(low < high)
+            if not len(open_):
+                return best
+            middle = (low[open_] + high[open_]) // 2
+            mine, theirs = at[open_], self.order[middle]
+            most = np.minimum(stops[open_] - mine, self.ends[theirs] - theirs)
+            same, over = np.zeros(len(open_), np.int64), most + 1
+            while (over - same > 1).any():
+                size = (same + over) // 2
+                equal = (sums[mine + size] - sums[mine]) * self.power[theirs] == (self.sums[theirs + size] - self.sums[theirs]) * power[mine]
+                same, over = np.where(equal, size, same), np.where(equal, over, size)
+            best[open_] = np.maximum(best[open_], same)
+            next_ = np.where(mine + same < stops[open_], hashes[np.minimum(mine + same, len(hashes) - 1)], np.uint64(0))
+            below = self.words[theirs + same] < next_
+            low[open_] = np.where(below, middle + 1, low[open_])
+            high[open_] = np.where(below, high[open_], middle)
+
+
 @dataclass
 class TestSuffixes:
     """Distinct test windows in suffix order, with the items that contain each."""
@@ -69,6 +126,7 @@ class TestSuffixes:
     items: np.ndarray
     lead: int
     lead_table: np.ndarray
+    words: ItemWords
 
 
 def test_suffixes(item_ids: list, texts: list[str | None], window: int) -> TestSuffixes | None:
@@ -93,7 +151,7 @@ def test_suffixes(item_ids: list, texts: list[str | None], window: int) -> TestS
         key = key * np.uint64(0x9E3779B97F4A7C15) + padded[:, step]
     lead_table[(mixed(key) >> np.uint64(64 - LEAD_BITS)).astype(np.int64)] = True
     item_start = np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1))
-    return TestSuffixes(rows, lengths, item_start, pairs[:, 1], lead, lead_table)
+    return TestSuffixes(rows, lengths, item_start, pairs[:, 1], lead, lead_table, ItemWords(hashes, bounds))
 
 
 def suffix_array(hashes: np.ndarray, bounds: np.ndarray, tests: TestSuffixes, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +211,7 @@ def shard_matches(data: np.ndarray, offsets: np.ndarray, tests: TestSuffixes, wi
     owner = np.searchsorted(bounds, starts, side="right") - 1
     for o, a, b in zip(owner.tolist(), (starts - bounds[owner]).tolist(), (stops - bounds[owner]).tolist(), strict=True):
         out["spans"][o].append((a, b))
-    _longest(out["longest"], bounds, tests, test, place, window)
+    _longest(out["longest"], hashes, bounds, tests, test, place, window)
     many = tests.item_start[test + 1] - tests.item_start[test]
     line = np.repeat(np.arange(len(test)), many)
     item = tests.items[np.repeat(tests.item_start[test] - np.cumsum(many) + many, many) + np.arange(len(line))]
@@ -163,17 +221,12 @@ def shard_matches(data: np.ndarray, offsets: np.ndarray, tests: TestSuffixes, wi
     return out
 
 
-def _longest(longest: np.ndarray, bounds: np.ndarray, tests: TestSuffixes, test: np.ndarray, place: np.ndarray, window: int) -> None:
-    """Longest chain of locations in which each test suffix continues the one before by one word."""
-    unique, line = np.unique(place, return_index=True)
-    full = tests.lengths[test[line]] == window
-    step = np.zeros(len(unique), bool)
-    if len(unique) > 1:
-        text = np.searchsorted(bounds, unique, side="right")
-        step[1:] = (np.diff(unique) == 1) & full[1:] & full[:-1] & (np.diff(text) == 0)
-    run = np.arange(len(unique)) - np.maximum.accumulate(np.where(step, 0, np.arange(len(unique))))
-    owner = np.searchsorted(bounds, unique, side="right") - 1
-    np.maximum.at(longest, owner, run + tests.lengths[test[line]])
+def _longest(longest: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, tests: TestSuffixes, test: np.ndarray, place: np.ndarray, window: int) -> None:
+    """Longest match of each text: a whole short item, or the words from a full window on that stand in one item."""
+    owner = np.searchsorted(bounds, place, side="right") - 1
+    np.maximum.at(longest, owner, tests.lengths[test])
+    full = tests.lengths[test] == window
+    np.maximum.at(longest, owner[full], tests.words.longest(hashes, bounds[owner[full] + 1], place[full]))
 
 
 def _item_blocks(benchmark: DataFrame, item_column: str, text_column: str, most: int) -> Iterator[tuple[list, list]]:
@@ -211,7 +264,7 @@ def _scan(docs: DataFrame, text_column: str, item_type: T.DataType, ids: list, t
                 else:
                     got = shard_matches(data, offsets, tests, window)
                 spans = [[{"start": a, "stop": b} for a, b in x] for x in got["spans"]]
-                items = [[ids[i] for i in x] for x in got["items"]]
+                items = [list(dict.fromkeys(ids[i] for i in x)) for x in got["items"]]
                 columns = [part.column(c) for c in keep]
                 columns += [pa.array(got["n_words"], pa.int64()), pa.array(spans, span_type), pa.array(got["longest"], pa.int64()), pa.array(items, items_type)]
                 yield pa.RecordBatch.from_arrays(columns, [*keep, *[f"{prefix}_{x}" for x in ("words", "spans", "longest", "items")]])
