@@ -15,7 +15,8 @@ on its whole sets. Equal sets are grouped by a 128-bit hash and only meet throug
 
 Defined cases: null texts and texts without words have no features and link with nothing; fewer words than the shingle
 length are one shingle; a null doc_id has no component but itself (null); rows that repeat a doc_id are one node, linked
-if any of them is; equal sizes and ids need no tie rule, as components are minima.
+if any of them is; equal sizes and ids need no tie rule, as components are minima. ``keep_first`` compares rows: where ids
+are null or repeat, rows are numbered by id (null last), then by a hash of the row, and one row of each group stays.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.bytes import LOWER, blocks, byte_table, mixed, prefix_hashes, substring_hashes, text_bytes, words
 from tallyhouse.llm.components import components, joined_components
-from tallyhouse.llm.session import stored
+from tallyhouse.llm.session import stored, unused
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -330,7 +331,19 @@ def grouped(docs: DataFrame, length: int = SHINGLE_WORDS, percent: int = PERCENT
     return described.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _numbered(docs: DataFrame, key: str) -> DataFrame:
+    """The rows with a number that grows with the id; equal rows are parted by a tie number."""
+    tie = unused(docs, "tie")
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.col(tie)]
+    sorted_ = docs.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(sorted_.drop(tie).withColumn(key, F.monotonically_increasing_id()), "numbered")
+
+
 def keep_first(docs: DataFrame, length: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without those that link to a document of smaller id, with their own columns."""
-    found = grouped(docs, length, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    columns, key = docs.columns, "doc_id"
+    if not docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
+        key = unused(docs, "row_number")
+        docs = _numbered(docs, key)
+    found = grouped(docs.select(F.col(key).alias("doc_id"), "text"), length, percent).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(found, key, "left_anti").select(*columns)
