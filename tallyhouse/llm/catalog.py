@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, fingerprints, html, jaccard, preferences, quality, secrets, substrings, token_files
+from tallyhouse.llm import bpe, decontaminate, fingerprints, html, jaccard, merkle, preferences, quality, secrets, substrings, token_files
 from tallyhouse.llm.session import table
 
 
@@ -50,6 +50,10 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, folder, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tampering_report(table(spark, folder, "documents"))
+
+
 QUERIES = (
     op1_repeated_substrings,
     op2_token_files,
@@ -61,6 +65,7 @@ QUERIES = (
     op8_bpe_round_trip,
     op9_quality_classifier,
     op10_order_minhash,
+    op13_merkle_manifest,
 )
 
 
