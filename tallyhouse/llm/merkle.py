@@ -3,8 +3,10 @@
 Rows are leaves, ordered by id within their group; every ``FANOUT`` consecutive nodes become one parent until one node
 is left, the subroot of the group. The subroots, ordered by group, form a tree of the same kind, whose last node is the
 root. Each built run of children is a stored row that knows its own place and the place and slot of its parent. A
-recursive query then climbs per leaf: at each step it finds the run of the current node, appends the siblings to the
-proof and folds them with the hash that it carries, so a changed row gives another root.
+recursive query climbs from the leaves: at each step it finds the run of the current node, appends the siblings to the
+proof and folds them with the hash that each leaf carries, so a changed row gives another root. The leaves of one run
+share all siblings above it and climb as one row: one carried hash per leaf, one proof for all of them, to which each
+leaf adds its own siblings at the end.
 
 Order without a single task: rows are dealt by range, sorted within partitions and stored; a row's position is that in
 its partition plus the sizes of the partitions before. Nodes above ``BLOCK_LEVEL`` have many leaves, so their
@@ -84,11 +86,11 @@ def _next_level(nodes: DataFrame, level: int) -> DataFrame:
     )
 
 
-def _levels(nodes: DataFrame, largest: int, purpose: str) -> list[DataFrame]:
-    """Built levels, each a stored table; ``largest`` is the number of leaves of the largest tree."""
+def _levels(nodes: DataFrame, largest: int, level: int, purpose: str) -> list[DataFrame]:
+    """Built levels above the given nodes, each a stored table; ``largest`` is the number of nodes of the largest tree."""
     built: list[DataFrame] = []
     while largest > 1:
-        nodes = stored(_next_level(nodes, len(built) + 1), purpose)
+        nodes = stored(_next_level(nodes, level + len(built)), purpose)
         built.append(nodes)
         largest = -(-largest // FANOUT)
     return built
@@ -96,9 +98,9 @@ def _levels(nodes: DataFrame, largest: int, purpose: str) -> list[DataFrame]:
 
 @dataclass(frozen=True)
 class Manifest:
-    """Leaves with the run they climb to first, all runs with their parents, and the root."""
+    """Runs of leaves with the hash each leaf starts to climb with, the runs above with their parents, and the root."""
 
-    leaves: DataFrame
+    families: DataFrame
     runs: DataFrame
     root: bytes | None
 
@@ -111,7 +113,7 @@ def _linked_runs(levels: list[DataFrame], tops: DataFrame, several_groups: bool)
     """Runs inside the groups: tree, step, place, children, hash, and the place and slot of the parent."""
     linked = None
     ranks = tops.select(F.col("tree").alias("top_tree"), "rank")
-    for level, runs in enumerate(levels, start=1):
+    for level, runs in enumerate(levels, start=2):
         inner = runs.where("size > 1").withColumn("up_slot", F.expr(f"place % {FANOUT}"))
         last = runs.where("size = 1").join(ranks, F.col("tree") == F.col("top_tree"))
         last = last.withColumn("up_slot", F.expr(f"rank % {FANOUT}") if several_groups else F.lit(None).cast("bigint"))
@@ -143,67 +145,106 @@ def _linked_root_runs(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
     return linked
 
 
-def build_manifest(rows: DataFrame, row_id: str, group: str, leaf: Column, *kept: Column) -> Manifest:
-    """The manifest of a table; ``kept`` columns stay with the leaves."""
-    hashed = stored(rows.select(F.col(row_id).alias("row_id"), F.col(group).alias("row_group"), leaf.alias("leaf"), F.monotonically_increasing_id().alias("tie"), *kept), "merkle-leaves")
-    placed = _placed(hashed, "row_group", ["row_id", "leaf", "tie"], "merkle-order").drop("tie", "row_group")
-    placed = stored(placed, "merkle-placed")
-    largest = placed.agg(F.max("size")).first()[0]
+def _families(placed: DataFrame) -> DataFrame:
+    """Runs of leaves: members in order, and the hash of the run; a leaf alone in its group is its own node."""
+    members = F.array_sort(F.collect_list(F.struct("place", "row_id", "leaf", "carried")))
+    joined = F.array_join(F.transform("members", lambda x: _shown(x["leaf"])), "")
+    runs = placed.groupBy("tree", F.col("size").alias("leaves"), F.expr(f"place div {FANOUT}").alias("place")).agg(members.alias("members"))
+    return runs.select(
+        "tree",
+        "leaves",
+        F.expr(f"(leaves + {FANOUT - 1}) div {FANOUT}").alias("size"),
+        "place",
+        "members",
+        F.when(F.col("leaves") > 1, _hashed(joined)).otherwise(F.col("members")[0]["leaf"]).alias("hash"),
+    )
+
+
+def build_manifest(rows: DataFrame, row_id: str, group: str, leaf: Column, carried: Column | None = None) -> Manifest:
+    """The manifest of a table; ``carried`` is the hash a leaf climbs with, where it is another one than its own."""
+    carried = leaf if carried is None else F.coalesce(carried, leaf)
+    named = rows.select(F.col(row_id).alias("row_id"), F.col(group).alias("row_group"), leaf.alias("leaf"), carried.alias("carried"))
+    hashed = stored(named.withColumn("tie", F.monotonically_increasing_id()), "merkle-leaves")
+    placed = _placed(hashed, "row_group", ["row_id", "leaf", "tie"], "merkle-order")
+    families = stored(_families(placed), "merkle-families")
+    largest = families.agg(F.max("size")).first()[0]
     if largest is None:
-        empty = placed.selectExpr("*", "place AS slot", "leaf AS subroot").drop("size")
-        return Manifest(empty, _no_runs(empty), None)
-    first = placed.select("tree", F.col("size").alias("leaves"), "size", "place", F.col("leaf").alias("hash"))
-    levels = _levels(first, largest, "merkle-level")
-    ends = first.where("size = 1").select("tree", "leaves", "hash", F.lit(0).alias("height"))
+        return Manifest(families.selectExpr("*", "1 AS step", "0L AS up_place", "0L AS up_slot", "hash AS subroot"), _no_runs(families), None)
+    nodes = families.drop("members")
+    levels = _levels(nodes, largest, 2, "merkle-level")
+    ends = nodes.where("size = 1").select("tree", "leaves", "hash", F.expr("if(leaves > 1, 1, 0)").alias("height"))
     for runs in levels:
         ends = ends.unionByName(runs.where("size = 1").select("tree", "leaves", "hash", F.col("level").alias("height")))
-    ends = ends.withColumn("all", F.lit(ROOT_TREE)).withColumnRenamed("tree", "group_tree")
-    tops = stored(_placed(ends, "all", ["group_tree"], "merkle-tops").drop("tree", "all").withColumnsRenamed({"place": "rank", "group_tree": "tree"}), "merkle-subroots")
+    ends = ends.withColumnsRenamed({"tree": "group_tree"}).withColumn("all", F.lit(ROOT_TREE))
+    tops = _placed(ends, "all", ["group_tree"], "merkle-tops").drop("tree", "all")
+    tops = stored(tops.withColumnsRenamed({"place": "rank", "group_tree": "tree"}), "merkle-subroots")
     groups = tops.count()
-    subroots = tops.select(F.lit(ROOT_TREE).alias("tree"), F.col("size").alias("leaves"), "size", F.col("rank").alias("place"), "hash")
-    root_levels = _levels(subroots, groups, "merkle-root-level")
-    last = root_levels[-1] if root_levels else subroots
-    root = bytes(last.select("hash").first()[0])
-    parts = ([_linked_runs(levels, tops, groups > 1)] if levels else []) + ([_linked_root_runs(root_levels, tops)] if root_levels else [])
-    runs = _no_runs(placed) if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    lone = placed.where("size = 1").join(tops.select(F.col("tree").alias("top_tree"), "rank"), F.col("tree") == F.col("top_tree"))
-    lone = lone.withColumn("slot", F.expr(f"rank % {FANOUT}") if groups > 1 else F.lit(None).cast("bigint")).withColumn("subroot", F.col("leaf"))
-    many = placed.where("size > 1").withColumns({"slot": F.expr(f"place % {FANOUT}"), "place": F.expr(f"place div {FANOUT}"), "subroot": F.lit(None).cast("binary")})
-    leaves = many.drop("size").unionByName(lone.drop("size", "top_tree", "rank"))
-    return Manifest(leaves, stored(runs, "merkle-runs"), root)
+    subroots = tops.select(F.lit(ROOT_TREE).cast("bigint").alias("tree"), F.col("size").alias("leaves"), "size", F.col("rank").alias("place"), "hash")
+    root_levels = _levels(subroots, groups, 1, "merkle-root-level")
+    root = bytes((root_levels[-1] if root_levels else subroots).select("hash").first()[0])
+    linked = _no_runs(families)
+    if levels:
+        linked = linked.unionByName(_linked_runs(levels, tops, groups > 1))
+    if root_levels:
+        linked = linked.unionByName(_linked_root_runs(root_levels, tops))
+    ranks = tops.select(F.col("tree").alias("top_tree"), "rank")
+    first = F.expr("if(leaves > 1, 2, 1)").alias("step")
+    inner = families.where("size > 1").select(
+        "*", first, F.expr(f"place div {FANOUT}").alias("up_place"), F.expr(f"place % {FANOUT}").alias("up_slot"), F.lit(None).cast("binary").alias("subroot")
+    )
+    up_slot = F.expr(f"rank % {FANOUT}") if groups > 1 else F.lit(None).cast("bigint")
+    single = families.where("size = 1").join(ranks, F.col("tree") == F.col("top_tree"))
+    single = single.select(*families.columns, first, F.lit(0).cast("bigint").alias("up_place"), up_slot.alias("up_slot"), F.col("hash").alias("subroot"))
+    return Manifest(inner.unionByName(single), stored(linked, "merkle-runs"), root)
 
 
-def _no_runs(like: DataFrame) -> DataFrame:
-    none = like.where("false")
-    return none.select("tree", F.lit(0).alias("step"), "place", F.col("leaf").alias("children"), F.col("leaf").alias("hash"), F.col("leaf").alias("subroot"), F.col("place").alias("up_place"), F.col("place").alias("up_slot"))
+def _no_runs(nodes: DataFrame) -> DataFrame:
+    names = ("children", "hash", "subroot")
+    return nodes.where("false").select(
+        "tree", F.lit(0).alias("step"), "place", *[F.col("hash").alias(name) for name in names], F.col("place").alias("up_place"), F.col("place").alias("up_slot")
+    )
 
 
-# A step: the run of the current node gives the siblings; the hash carried so far takes its slot among them.
+# A run of leaves: each carried hash takes its slot among the leaves of the run. A leaf alone climbs as it is.
+# A step: the run of the current node gives the siblings; each carried hash takes the node's slot among them.
 CLIMB = """
-WITH RECURSIVE climb (row_id, leaf, tree, step, place, slot, folded, proof, subroot, root) AS (
-  SELECT row_id, leaf, tree, 1, place, slot, folded, CAST('' AS binary), subroot, leaf FROM {leaves}
+WITH RECURSIVE climb (tree, family, step, place, slot, folded, proof, subroot, root) AS (
+  SELECT tree, place, step, up_place, up_slot,
+    if(leaves = 1, transform(members, x -> x.carried),
+      transform(members, (x, i) -> unhex(sha2(array_join(transform(members, (y, j) ->
+        lower(hex(if(i = j, y.carried, y.leaf)))), ''), 256)))),
+    CAST('' AS binary), subroot, hash
+  FROM {families}
   UNION ALL
-  SELECT c.row_id, c.leaf, c.tree, c.step + 1, r.up_place, r.up_slot,
-    unhex(sha2(lower(hex(concat(
-      substring(r.children, 1, CAST({width} * c.slot AS int)), c.folded,
-      substring(r.children, CAST({width} * c.slot + {width} + 1 AS int))))), 256)),
+  SELECT c.tree, c.family, c.step + 1, r.up_place, r.up_slot,
+    transform(c.folded, x -> unhex(sha2(lower(hex(concat(
+      substring(r.children, 1, CAST({width} * c.slot AS int)), x,
+      substring(r.children, CAST({width} * c.slot + {width} + 1 AS int))))), 256))),
     concat(c.proof, substring(r.children, 1, CAST({width} * c.slot AS int)),
       substring(r.children, CAST({width} * c.slot + {width} + 1 AS int))),
     coalesce(c.subroot, r.subroot), r.hash
   FROM climb c JOIN {runs} r ON r.tree = c.tree AND r.step = c.step AND r.place = c.place
   WHERE c.slot IS NOT NULL)
-SELECT row_id, leaf, subroot, root, proof, folded FROM climb WHERE slot IS NULL
+SELECT tree AS climbed_tree, family, folded, proof, subroot, root FROM climb WHERE slot IS NULL
 """
 
 
-def proofs(manifest: Manifest, folded: Column) -> DataFrame:
-    """Per leaf: row_id, leaf, subroot, root, proof (its siblings up to the root) and the root that ``folded`` gives."""
-    spark = prepare(manifest.leaves.sparkSession)
+def proofs(manifest: Manifest) -> DataFrame:
+    """Per leaf: row_id, leaf, subroot, root, proof (hex text of its siblings up to the root) and folded, the root its carried hash gives."""
+    spark = prepare(manifest.families.sparkSession)
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    names = {name: f"merkle_{name}_{uuid.uuid4().hex}" for name in ("leaves", "runs")}
-    manifest.leaves.select("row_id", "leaf", "tree", "place", "slot", "subroot", folded.alias("folded")).createOrReplaceTempView(names["leaves"])
+    names = {name: f"merkle_{name}_{uuid.uuid4().hex}" for name in ("families", "runs")}
+    manifest.families.createOrReplaceTempView(names["families"])
     manifest.runs.createOrReplaceTempView(names["runs"])
-    return spark.sql(CLIMB.format(width=HASH_BYTES, **names))
+    climbed = spark.sql(CLIMB.format(width=HASH_BYTES, **names))
+    members = manifest.families.select("tree", "place", "members")
+    joined = members.join(climbed, (F.col("tree") == F.col("climbed_tree")) & (F.col("place") == F.col("family")))
+    leaves = joined.select(F.posexplode("members").alias("i", "x"), "members", "folded", "proof", "subroot", "root")
+    own = F.expr("array_join(transform(filter(members, (y, j) -> j <> i), y -> lower(hex(y.leaf))), '')")
+    return leaves.select(
+        F.col("x.row_id").alias("row_id"), F.col("x.leaf").alias("leaf"), "subroot", "root",
+        F.concat(own, _shown(F.col("proof"))).alias("proof"), F.expr("folded[i]").alias("folded"),
+    )
 
 
 def tampering_report(docs: DataFrame) -> DataFrame:
@@ -213,12 +254,12 @@ def tampering_report(docs: DataFrame) -> DataFrame:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     lowered = [F.translate(text, upper, upper.lower()) if name == "text" else F.col(name) for name in FIELDS]
     tampered = F.when(F.crc32(doc_id.cast("string")) % 5 == 0, row_hash(lowered))
-    manifest = build_manifest(docs, "doc_id", "source", row_hash([F.col(name) for name in FIELDS]), tampered.alias("tampered"))
-    climbed = proofs(manifest, F.coalesce("tampered", "leaf"))
+    manifest = build_manifest(docs, "doc_id", "source", row_hash([F.col(name) for name in FIELDS]), tampered)
+    climbed = proofs(manifest)
     return climbed.select(
         F.col("row_id").alias("doc_id"),
         *[_shown(F.col(name)).alias(name) for name in ("leaf", "subroot", "root")],
-        F.sha2(_shown(F.col("proof")), 256).alias("proof_sha256"),
+        F.sha2(F.col("proof"), 256).alias("proof_sha256"),
         _shown(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
