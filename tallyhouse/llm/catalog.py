@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, fingerprints, html, jaccard, merkle, preferences, quality, secrets, substrings, token_files
+from tallyhouse.llm import alignment, bpe, decontaminate, fingerprints, html, jaccard, merkle, packing, preferences, quality, secrets, substrings, token_files
 from tallyhouse.llm.session import table
 
 
@@ -50,6 +50,14 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, folder, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, folder, "documents"))
+
+
+def op12_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.tampering_report(table(spark, folder, "documents"))
 
@@ -65,6 +73,8 @@ QUERIES = (
     op8_bpe_round_trip,
     op9_quality_classifier,
     op10_order_minhash,
+    op11_token_alignment,
+    op12_balanced_packing,
     op13_merkle_manifest,
 )
 
