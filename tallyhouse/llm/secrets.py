@@ -2,10 +2,18 @@
 
 Patterns give parts of three roles: access identifiers, secrets and endpoints. Strong parts (the base kinds) are
 always reported. Weak parts - short or named identifiers, short assigned or bare mixed tokens, addresses - are
-reported only where an interval join finds their complement: another role's part anywhere in the same scope, a
-paragraph, i.e. text between blank lines, whatever the distance. An identifier needs a secret, a secret needs an
-identifier or an endpoint, an endpoint needs both. The scopes are the intervals of the join: every part falls into one, and
-the roles of each are collected, so no pairs are formed. Parts belong to one text, so nothing is shuffled.
+reported only where an interval join finds their complement in one of their scopes: an identifier needs a secret, a
+secret needs an identifier or an endpoint, an endpoint needs both.
+
+Scopes are intervals of the text: paragraphs (between blank lines), sections (from a line ``[name]`` to the next one), and
+objects in braces, of which those count that are the innermost one around a part; so parts of two objects beside each
+other do not meet, but an object and what it encloses do. The join asks every scope for the roles inside it and
+marks the parts of the range, so it takes a step per scope and per part and forms no pairs. Parts belong to one text, so
+nothing is shuffled.
+
+Parts never complement themselves: of overlapping parts the first of strong, named secret, endpoint, bare token, identifier
+stays (base spans all do), so an address is no secret of its own, and one assignment has one role. A named or
+short value has to look made up: words of prose are no secrets.
 
 Defined cases: null and empty texts have no spans; equal spans of one kind are reported once; overlapping spans of
 different kinds all are; other columns pass through, but one with the name of the added one is replaced.
@@ -14,9 +22,9 @@ different kinds all are; other columns pass through, but one with the name of th
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +41,13 @@ _ANY = re.IGNORECASE | re.ASCII
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _ANY)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-NAMED_ID = re.compile(r"""(access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", _ANY)
-NAMED_SECRET = re.compile(r"""(pwd|pass|private_?key|secret_?access_?key|credential)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""", _ANY)
+NAMED_ID = re.compile(r"""(?<![A-Za-z0-9])(access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", _ANY)
+NAMED_SECRET = re.compile(r"""(?<![A-Za-z0-9])(pwd|pass|private_?key|secret_?access_?key|credential)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""", _ANY)
 BARE_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 ENDPOINT = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s\"'<>]+")
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
+SECTION = re.compile(r"^[ \t]*\[[^\[\]\n]+\][ \t]*\r?$", re.M)
+BRACE = re.compile(r"[{}]")
 SEPARATOR = re.compile(r"[:=]")
 SHORT_ASSIGN, LONG_ASSIGN, LONG_ACCESS = 6, 12, 18
 
@@ -52,7 +62,7 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
             size = m.end(2) - m.start(2)
             if size >= LONG_ASSIGN:
                 strong.append(("assign", m.start(), m.end()))
-            elif size >= SHORT_ASSIGN:
+            elif size >= SHORT_ASSIGN and _made_up(m[2]):
                 short.append(("weak_secret", m.start(), m.end()))
     if "AKIA" in text:
         for m in ACCESS.finditer(text):
@@ -67,36 +77,94 @@ def _mixed(token: str) -> bool:
     return any(c.islower() for c in token) and any(c.isupper() for c in token) and any(c.isdigit() for c in token)
 
 
+def _made_up(value: str) -> bool:
+    """A value that is no word: digits, signs inside, or upper case behind the first letter of a mixed one."""
+    inner = value.rstrip(".=-_/+")
+    return any(not c.isalpha() for c in inner) or not (inner.islower() or inner.isupper() or inner.istitle())
+
+
 def weak_parts(text: str) -> list[Span]:
-    """Candidates that mean nothing alone."""
+    """Candidates that mean nothing alone, in the order of their precedence."""
     out: list[Span] = []
     if SEPARATOR.search(text):
-        out.extend(("named_id", m.start(), m.end()) for m in NAMED_ID.finditer(text))
-        out.extend(("weak_secret", m.start(), m.end()) for m in NAMED_SECRET.finditer(text))
+        out.extend(("weak_secret", m.start(), m.end()) for m in NAMED_SECRET.finditer(text) if _made_up(m[2]))
         if "://" in text:
             out.extend(("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text))
     out.extend(("weak_secret", m.start(), m.end()) for m in BARE_TOKEN.finditer(text) if _mixed(m.group()))
+    if SEPARATOR.search(text):
+        out.extend(("named_id", m.start(), m.end()) for m in NAMED_ID.finditer(text))
     return out
 
 
 ROLE = {"access": "id", "named_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "endpoint": "endpoint"}
+ROLES = ("id", "secret", "endpoint")
+
+
+def apart(strong: list[Span], weak: list[Span]) -> list[Span]:
+    """The weak parts that overlap no strong one and none of higher precedence."""
+    taken: list[tuple[int, int]] = []  # disjoint, by start
+    for _, start, stop in sorted(strong, key=lambda span: span[1:]):
+        if taken and start < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(taken[-1][1], stop)
+        else:
+            taken.append((start, stop))
+    kept = []
+    for span in weak:
+        place = bisect_left(taken, span[1:])
+        if (place == 0 or taken[place - 1][1] <= span[1]) and (place == len(taken) or taken[place][0] >= span[2]):
+            taken.insert(place, span[1:])
+            kept.append(span)
+    return kept
+
+
+def scopes(text: str, parts: list[Span]) -> set[tuple[int, int]]:
+    """Intervals in which parts meet: paragraphs, sections, and the innermost object around each part."""
+    found: set[tuple[int, int]] = set()
+    for marks in (PARAGRAPH, SECTION):
+        breaks = [0, *[m.start() for m in marks.finditer(text)], len(text)]
+        if len(breaks) > 2 or marks is PARAGRAPH:
+            found.update((breaks[i - 1], breaks[i]) for i in {bisect_right(breaks, start) for _, start, _ in parts} if i < len(breaks))
+    if "{" in text:
+        objects, opened = [], []
+        for m in BRACE.finditer(text):
+            if m[0] == "{":
+                opened.append(m.start())
+            elif opened:
+                objects.append((opened.pop(), m.end()))
+        objects.sort()
+        around: list[tuple[int, int]] = []
+        at = 0
+        for _, start, _ in sorted(parts, key=lambda span: span[1]):
+            while at < len(objects) and objects[at][0] <= start:
+                around.append(objects[at])
+                at += 1
+            # Objects that ended before stay in the list only while a later one covers them.
+            while around and around[-1][1] <= start:
+                around.pop()
+            if around:
+                found.add(around[-1])
+    return found
 
 
 def linked(text: str, strong: list[Span], weak: list[Span]) -> list[Span]:
-    """Weak spans whose complementary parts lie in their scope."""
-    if not weak:
+    """Weak spans whose complementary parts lie in one of their scopes."""
+    weak = apart(strong, weak)
+    parts = sorted({*strong, *weak}, key=lambda span: span[1:])
+    if not weak or len({ROLE[kind] for kind, _, _ in parts}) < 2:
         return []
-    breaks = [m.start() for m in PARAGRAPH.finditer(text)]
-    roles: dict[int, set[str]] = defaultdict(set)
-    for kind, start, _ in {*strong, *weak}:
-        roles[bisect_left(breaks, start)].add(ROLE[kind])
-    out = []
-    for kind, start, stop in sorted(set(weak)):
-        found = roles[bisect_left(breaks, start)]
-        role = ROLE[kind]
-        if role == "id" and "secret" in found or role == "secret" and ("id" in found or "endpoint" in found) or role == "endpoint" and "id" in found and "secret" in found:
-            out.append((kind, start, stop))
-    return out
+    starts = [start for _, start, _ in parts]
+    before = {role: [0, *accumulate(ROLE[kind] == role for kind, _, _ in parts)] for role in ROLES}
+    marks = {role: [0] * (len(parts) + 1) for role in ROLES}
+    for begin, end in scopes(text, parts):
+        low, high = bisect_left(starts, begin), bisect_left(starts, end)
+        has = {role: before[role][high] > before[role][low] for role in ROLES}
+        needs = {"id": has["secret"], "secret": has["id"] or has["endpoint"], "endpoint": has["id"] and has["secret"]}
+        for role, met in needs.items():
+            marks[role][low] += met
+            marks[role][high] -= met
+    met = {role: list(accumulate(marks[role])) for role in ROLES}
+    reported = set(weak)
+    return [span for i, span in enumerate(parts) if span in reported and met[ROLE[span[0]]][i]]
 
 
 def _order(span: Span) -> tuple[int, int, int]:
