@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.chunks import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_chunks, piece_chunks
 from tallyhouse.llm.session import prepare, stored
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 END_BITS = 40
 B_BITS = 32
 PER_DOCUMENT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -110,14 +110,12 @@ class Aligner:
     def tokens(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
         """Ids of both sides; none where either does not spell the text."""
         none = np.zeros(0, np.int64)
-        found: tuple[list, list] = ([], [])
-        for text in texts:
-            ids = [self.a.encode_spaced(text), self.b.exact_spaced(text)] if text else [none, none]
-            size = len(text.encode()) + 1 if text else 0
-            spelt = all(int(side.lengths[x].sum()) == size for side, x in zip((self.a, self.b), ids, strict=True))
-            for side, x in zip(found, ids, strict=True):
-                side.append(x if spelt else none)
-        return _lists(found[0]), _lists(found[1])
+        given = [text or "" for text in texts]
+        found = self.a.encode_spaced(given), self.b.exact_spaced(given)
+        sizes = [len(text.encode()) + 1 if text else 0 for text in texts]
+        spells = lambda i: all(int(side.lengths[ids[i]].sum()) == sizes[i] for side, ids in zip((self.a, self.b), found, strict=True))
+        spelt = [size > 0 and spells(i) for i, size in enumerate(sizes)]
+        return tuple(_lists([x if ok else none for x, ok in zip(ids, spelt, strict=True)]) for ids in found)
 
     def block(self, doc_ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
         """Rows of the documents of a block, and one row with its pairs and their counts."""

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from array import array
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -20,16 +20,11 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
-from tallyhouse.llm.bpe import byte_alphabet
+from tallyhouse.llm.bpe import CHUNKS_KEPT, LONG_CHUNK, OPEN_SPACE, byte_alphabet
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
-CHUNKS_KEPT = 300_000
-LONG_CHUNK = 200
-# A space between white space, or between white space and the end: there the cut depends on more than one chunk.
-OPEN_SPACE = re.compile(r"\s (?:\s|\Z)")
 MARK = "▁"
-STOPS = ".,;:!?"
 
 
 def file_of(vocabulary: str) -> str:
@@ -54,8 +49,6 @@ class ByteChunks(dict):
         added = {x["content"] for x in content["added_tokens"]}
         ranks = {bytes(alphabet[c] for c in token): i for token, i in content["model"]["vocab"].items() if token not in added}
         self.fast = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.one_piece = self.fast._core_bpe.encode_single_piece
-        self.stops: dict[str, bytes] = {}
         size = max([*ranks.values(), *[x["id"] for x in content["added_tokens"]]]) + 1
         self.width, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
         self.lengths = np.zeros(size, np.int64)
@@ -66,52 +59,59 @@ class ByteChunks(dict):
             self.tokens[i] = token
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) > LONG_CHUNK:
-            return self._whole(" " + chunk)
-        if len(self) >= CHUNKS_KEPT:
-            self.clear()
-        word = chunk.rstrip(STOPS)
-        if not word.isalpha():
-            ids = self.fast.encode_ordinary(" " + chunk)
-        elif len(word) < len(chunk):
-            got = self[chunk] = self[word] + self._stops(chunk[len(word) :])
-            return got
-        else:  # letters with a space before them are one piece
-            ids = self.one_piece((" " + word).encode())
-        got = self[chunk] = array(self.code, ids).tobytes()
-        return got
+        ids = array(self.code, self.fast.encode_ordinary(" " + chunk)).tobytes() if len(chunk) <= LONG_CHUNK else self._whole(" " + chunk)
+        if len(chunk) <= LONG_CHUNK:
+            self[chunk] = ids
+        return ids
 
-    def _stops(self, stops: str) -> bytes:
-        """Ids of full stops and the like behind a word: one piece of their own."""
-        got = self.stops.get(stops)
-        if got is None:
-            got = array(self.code, self.one_piece(stops.encode())).tobytes()
-            if len(stops) < 3:
-                self.stops[stops] = got
-        return got
+    def learn(self, chunks: set[str]) -> None:
+        """Encode new chunks in one call: joined by spaces they keep their ids, which are parted by their bytes."""
+        new = [c for c in chunks if c not in self and 0 < len(c) <= LONG_CHUNK and not c[0].isspace()]
+        if len(self) + len(new) > CHUNKS_KEPT:
+            self.clear()
+            new = [c for c in chunks if 0 < len(c) <= LONG_CHUNK and not c[0].isspace()]
+        if not new:
+            return
+        ids = np.array(self.fast.encode_ordinary(" " + " ".join(new)), self.width)
+        _parted(self, new, ids, self.lengths)
 
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _packed(self, spaced: str) -> bytes | None:
-        """Ids of a space and the chunks behind it; None where the text has to be encoded whole."""
-        if OPEN_SPACE.search(spaced) or any(s in spaced for s in self.specials):
-            return None
-        return b"".join(map(self.__getitem__, spaced[1:].split(" ")))
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a text."""
-        text = text or ""
-        first, space, rest = text.partition(" ")
-        packed = self._packed(" " + rest) if space and first and not first[-1].isspace() else None
-        if packed is None or any(s in first for s in self.specials):
-            return np.frombuffer(self._whole(text), self.width)
-        return np.frombuffer(self._whole(first) + packed, self.width)
-
-    def encode_spaced(self, text: str) -> np.ndarray:
-        """Ids of a text with a space before it."""
-        packed = self._packed(" " + text)
-        return np.frombuffer(self._whole(" " + text) if packed is None else packed, self.width)
+    def _separable(self, spaced: str) -> bool:
+        """Whether a space and the chunks behind it may be encoded one by one."""
+        return not OPEN_SPACE.search(spaced) and not any(s in spaced for s in self.specials)
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of texts."""
+        parted: list[tuple[str, list[str]] | None] = []
+        for text in texts:
+            first, space, rest = (text or "").partition(" ")
+            plain = space and first and not first[-1].isspace() and self._separable(" " + rest) and not any(s in first for s in self.specials)
+            parted.append((first, rest.split(" ")) if plain else None)
+        self.learn(set().union(*[part[1] for part in parted if part]))
+        packed = [self._whole(text or "") if part is None else self._whole(part[0]) + b"".join(map(self.__getitem__, part[1])) for text, part in zip(texts, parted, strict=True)]
+        return [np.frombuffer(ids, self.width) for ids in packed]
+
+    def encode_spaced(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts with a space before each."""
+        parted = [text.split(" ") if self._separable(" " + text) else None for text in texts]
+        self.learn(set().union(*[part for part in parted if part]))
+        packed = [self._whole(" " + text) if part is None else b"".join(map(self.__getitem__, part)) for text, part in zip(texts, parted, strict=True)]
+        return [np.frombuffer(ids, self.width) for ids in packed]
+
+
+def _parted(known: dict[str, bytes], chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> bool:
+    """Part the ids of chunks that spell them with a space before each; nothing is kept if a token crosses chunks."""
+    ends = np.cumsum(lengths[ids])
+    bounds = np.cumsum([len(chunk.encode()) + 1 for chunk in chunks])
+    cuts = np.searchsorted(ends, bounds)
+    if not len(ends) or ends[-1] != bounds[-1] or (ends[np.minimum(cuts, len(ends) - 1)] != bounds).any():
+        return False
+    blob, size = ids.tobytes(), ids.dtype.itemsize
+    places = [0, *((cuts + 1) * size).tolist()]
+    known.update(zip(chunks, map(blob.__getitem__, map(slice, places[:-1], places[1:])), strict=True))
+    return True
 
 
 class PieceChunks(dict):
@@ -131,8 +131,6 @@ class PieceChunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         got = self._exact(chunk)
         if len(chunk) <= LONG_CHUNK:
-            if len(self) >= CHUNKS_KEPT:
-                self.clear()
             self[chunk] = got
         return got
 
@@ -142,11 +140,25 @@ class PieceChunks(dict):
         spelt = b"".join(map(self.tokens.__getitem__, ids)) == b" " + text.encode()
         return array(self.code, ids).tobytes() if spelt else b""
 
-    def exact_spaced(self, text: str) -> np.ndarray:
-        """Ids of a text with a space before it; fewer bytes than that where the vocabulary cannot spell it."""
-        if not self.separable or "  " in text or MARK in text or text[:1] == " " or text[-1:] == " ":
-            return np.frombuffer(self._exact(text), self.width)
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split(" "))), self.width)
+    def learn(self, chunks: set[str]) -> None:
+        """Encode new chunks in one call and check what all of them spell; where that differs, each goes alone."""
+        new = [c for c in chunks if c not in self and 0 < len(c) <= LONG_CHUNK]
+        if len(self) + len(new) > CHUNKS_KEPT:
+            self.clear()
+            new = [c for c in chunks if 0 < len(c) <= LONG_CHUNK]
+        if not new:
+            return
+        ids = np.fromiter(chain.from_iterable(self.processor.encode(new, num_threads=1)), self.width)
+        if b"".join(map(self.tokens.__getitem__, ids.tolist())) == (" " + " ".join(new)).encode():
+            _parted(self, new, ids, self.lengths)
+
+    def exact_spaced(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts with a space before each; fewer bytes than that where the vocabulary cannot spell a text."""
+        joined = lambda text: not self.separable or "  " in text or MARK in text or text[:1] == " " or text[-1:] == " "
+        parted = [None if joined(text) else text.split(" ") for text in texts]
+        self.learn(set().union(*[part for part in parted if part]))
+        packed = [self._exact(text) if part is None else b"".join(map(self.__getitem__, part)) for text, part in zip(texts, parted, strict=True)]
+        return [np.frombuffer(ids, self.width) for ids in packed]
 
 
 _BYTE: dict[tuple[str, bool], ByteChunks] = {}

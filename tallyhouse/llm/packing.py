@@ -88,8 +88,8 @@ def encoded(docs: DataFrame, vocabulary: str = BYTE_VOCABULARY, end_id: int = EN
         end = np.array([end_id], tool.width)
         for batch in batches:
             counts, sums, tails = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = np.concatenate([tool.encode(text), end])
+            for own in tool.encode_many(batch.column("text").to_pylist()):
+                ids = np.concatenate([own, end])
                 full = len(ids) // capacity * capacity
                 counts.append(len(ids))
                 sums.append([checksum(ids[i : i + capacity]) for i in range(0, full, capacity)])
