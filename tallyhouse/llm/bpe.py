@@ -6,8 +6,9 @@ back one token. Two tokens are compatible if merging would have kept the boundar
 answers, so the result equals that of applying the merges in order, in linear time. Decoding gathers the bytes of all
 ids from one array of token bytes and its offsets.
 
-Texts are cut into pieces as the tokenizer does, and each distinct piece of a worker is encoded once (memory is
-bounded by ``PIECES_KEPT`` and ``PAIRS_KEPT``, which change the speed, never the result). Special tokens in a text become their ids.
+Texts are cut into pieces as the tokenizer does, and the pieces of each distinct chunk between spaces are encoded once by a
+worker (memory is bounded by ``CHUNKS_KEPT`` chunks of up to ``LONG_CHUNK`` characters and ``PAIRS_KEPT`` pairs, which change the
+speed, never the result). Special tokens in a text become their ids.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise;
 an input column with the name of an added one is replaced.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,8 +32,11 @@ from pyspark.sql import types as T
 from tallyhouse.llm.session import others
 
 VOCABULARY = "byte_bpe_50k.json"
-PIECES_KEPT = 150_000
-PAIRS_KEPT = 300_000
+CHUNKS_KEPT = 300_000
+PAIRS_KEPT = 400_000
+LONG_CHUNK = 200
+# A space between white space, or between white space and the end: there the cut depends on more than one chunk.
+OPEN_SPACE = re.compile(r"\s (?:\s|\Z)")
 
 # The white space and the piece pattern of the byte-level pre-tokenizer.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -118,24 +123,41 @@ class Vocabulary:
                 right = self.parts[right][0]
 
     def piece_ids(self, piece: bytes) -> list[int]:
-        """Ids of one piece by backtracking."""
-        longest = [-1] * len(piece)
-        best = [0] * len(piece)
-        for end, (size, i) in self.automaton.iter(piece.decode("latin-1")):
-            start = end - size + 1
-            if size > best[start]:
-                best[start], longest[start] = size, i
+        """Ids of one piece: the run of longest tokens if all its pairs are compatible, else by backtracking."""
+        text = piece.decode("latin-1")
+        run = [i for _, (_, i) in self.automaton.iter_long(text)]
+        known = self.pairs.get
+        for pair in zip(run, run[1:]):
+            held = known(pair)
+            if held is None:
+                held = self.compatible(*pair)
+            if not held:
+                return self._by_backtracking(text, run)
+        return run
+
+    def _by_backtracking(self, text: str, run: list[int]) -> list[int]:
+        """Longest tokens first; one that is not compatible with the token before it gives way to a shorter one.
+
+        The automaton is asked for the longest token of a place when it is first needed; those of ``run`` are known.
+        """
+        longest = [-1] * len(text)
+        at = 0
+        for token in run:
+            longest[at] = token
+            at += self.lengths[token]
         out: list[int] = []
-        dead = bytearray(len(piece) + 1)
-        at, token = 0, longest[0]
+        dead = bytearray(len(text) + 1)
+        at, token = 0, run[0]
         while True:
             end = at + self.lengths[token]
             if not dead[end] and (not out or self.compatible(out[-1], token)):
                 out.append(token)
                 at = end
-                if at == len(piece):
+                if at == len(text):
                     return out
                 token = longest[at]
+                if token < 0:
+                    token = longest[at] = next(self.automaton.iter_long(text, at))[1][1]
                 continue
             fallback = self.shorter[token]
             if fallback is None:
@@ -147,7 +169,11 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Pieces already encoded: packed ids and their decimal text."""
+    """Chunks already encoded, keyed without the space before them: packed ids and their decimal text.
+
+    A text is cut at each space that stands next to something else than white space, as the tokenizer cuts it there too;
+    where a space stands between white space, or a special token in the text, all its pieces are encoded in place.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -156,24 +182,35 @@ class Encoder(dict):
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.vocabulary.special, key=len, reverse=True)) + ")") if self.vocabulary.special else None
         self.first = [s[:2] for s in self.vocabulary.special]
 
-    def __missing__(self, piece: str) -> tuple[bytes, str]:
-        ids = self.vocabulary.piece_ids(piece.encode())
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        got = self[piece] = np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
+    def __missing__(self, chunk: str) -> tuple[bytes, str]:
+        ids = [i for piece in self.pattern.findall(" " + chunk) for i in self.vocabulary.piece_ids(piece.encode())]
+        got = np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
+        if len(chunk) <= LONG_CHUNK:
+            if len(self) >= CHUNKS_KEPT:
+                self.clear()
+            self[chunk] = got
         return got
 
+    def _encoded(self, pieces: list[str]) -> Iterator[tuple[bytes, str]]:
+        for piece in pieces:
+            ids = self.vocabulary.piece_ids(piece.encode())
+            yield np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
+
     def _pieces(self, text: str) -> list[tuple[bytes, str]]:
-        if not any(f in text for f in self.first):
-            return list(map(self.__getitem__, self.pattern.findall(text)))
-        out = []
-        for part in self.specials.split(text):
-            if part in self.vocabulary.special:
-                i = self.vocabulary.special[part]
-                out.append((np.array([i], "<u4").tobytes(), str(i)))
-            else:
-                out.extend(map(self.__getitem__, self.pattern.findall(part)))
-        return out
+        """Packed ids and decimal text of the parts of a text, none of them empty."""
+        if any(f in text for f in self.first):
+            out = []
+            for part in self.specials.split(text):
+                if part in self.vocabulary.special:
+                    i = self.vocabulary.special[part]
+                    out.append((np.array([i], "<u4").tobytes(), str(i)))
+                else:
+                    out.extend(self._encoded(self.pattern.findall(part)))
+            return out
+        first, space, rest = text.partition(" ")
+        if not space or not first or first[-1].isspace() or OPEN_SPACE.search(" " + rest):
+            return list(self._encoded(self.pattern.findall(text)))
+        return [*self._encoded(self.pattern.findall(first)), *map(self.__getitem__, rest.split(" "))]
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text."""
