@@ -10,8 +10,8 @@ Agreement on empty partitions alone is excluded by spare partitions; a set with
 Candidates are rows that share a signature. They are never expanded into all pairs: each is compared with the member
 of its signature that shares most signatures with others, first once per document, then wherever the components still
 differ. Signatures whose documents remain in several components are then compared across components, so no link is
-lost; there the join itself applies the bounds of sizes and odd sketches, so only likely pairs leave it. Every candidate pair is checked
-on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
+lost; of signatures with equal members one is taken, and the join itself applies the bounds of sizes and odd sketches, so
+only likely pairs leave it, once for each different set of members. Every candidate pair is checked on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
 
 Defined cases: null texts and texts without words have no features and link with nothing; fewer words than the shingle
 length are one shingle; a null doc_id has no component but itself (null); rows that repeat a doc_id are one node, linked
@@ -293,6 +293,23 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(_can_link("l", "r", percent)).select("a", "b").distinct()
 
 
+def _different_signatures(placed: DataFrame) -> DataFrame:
+    """sig of one signature for every set of members that is still in several components.
+
+    Similar documents agree on many signatures, so the same members meet again and again; they are compared once. Member
+    sets are told apart by their size and 128 bits of hashes.
+    """
+    members = F.when(F.col("doc") != F.col("center"), F.col("doc"))
+    open_ = placed.groupBy("sig").agg(
+        F.min("doc_in").alias("low"),
+        F.max("doc_in").alias("high"),
+        F.count(members).alias("n"),
+        F.bit_xor(F.when(members.isNotNull(), F.xxhash64(members))).alias("one"),
+        F.bit_xor(F.when(members.isNotNull(), F.xxhash64(members, F.lit(1)))).alias("two"),
+    )
+    return open_.where("low < high AND n > 1").groupBy("n", "one", "two").agg(F.min("sig").alias("sig")).select("sig")
+
+
 def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> DataFrame:
     """Component of every document that has a link: node, component."""
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -313,7 +330,7 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     labels = joined_components(labels, stored(_verified(rest, texts, length, percent), "links"))
     # Signatures whose documents are still apart: members other than the center, across components.
     placed = _with_components(shared, labels, "doc")
-    apart = placed.groupBy("sig").agg(F.min("doc_in").alias("low"), F.max("doc_in").alias("high")).where("low < high").select("sig")
+    apart = _different_signatures(placed)
     open_ = placed.where("doc <> center").join(apart, "sig", "left_semi").join(sketched, F.col("doc") == F.col("doc_id")).drop("doc_id", "center")
     left, right = open_.alias("l"), open_.alias("r")
     across = left.join(right, (F.col("l.sig") == F.col("r.sig")) & (F.col("l.doc") < F.col("r.doc")) & (F.col("l.doc_in") != F.col("r.doc_in")) & _can_link("l", "r", percent))
