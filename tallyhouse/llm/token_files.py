@@ -9,7 +9,7 @@ is read by seeking to one frame. Ids are stored in the narrowest of 2 or 4 bytes
 their names are unique per task attempt, and the manifest (a table that Spark writes) lists those of the attempts
 that succeeded, so lost executors and repeated tasks do no harm.
 
-The dictionary is trained on the driver from about ``SAMPLE_DOCS`` documents chosen by a hash of their id; it only
+The dictionary is trained on the driver from ``SAMPLE_DOCS`` documents chosen by a hash of id and text; it only
 affects the compression. Encoding keeps each distinct word of a worker (bounded by ``WORDS_KEPT``).
 
 Defined cases: a null or empty text has the end id alone; null doc_ids come first; rows of equal doc_id are ordered by
@@ -39,6 +39,7 @@ from tallyhouse.session import scratch_folder
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 SAMPLE_DOCS = 500
+SAMPLE_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 WORDS_KEPT = 500_000
@@ -184,17 +185,23 @@ class FileReader:
 
 
 def trained_dictionary(docs: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS) -> bytes:
-    """A dictionary from the serialized ids of about ``sample_docs`` documents; empty if they are too few."""
-    every = max(1, docs.count() // max(1, sample_docs))
+    """A dictionary from the serialized ids of ``sample_docs`` documents; empty if they are too few.
+
+    The documents are those of the smallest hashes of id and text, so null or repeated ids make no difference. Of each,
+    ``SAMPLE_BYTES`` of ids train the dictionary, so the driver gets at most the product of both.
+    """
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("digest"))
+    smallest = [row["digest"] for row in hashed.select("digest").distinct().orderBy("digest").limit(sample_docs).collect()]
+    # Equal rows are one sample, however many there are.
+    chosen = hashed.where(F.col("digest") <= max(smallest, default=0)).groupBy("digest").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = word_encoder(vocabulary)
         for batch in batches:
-            packed = [tool.encode(text).tobytes() for text in batch.column("text").to_pylist()]
+            packed = [tool.encode(text).tobytes()[:SAMPLE_BYTES] for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["ids"])
 
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-    samples = [bytes(row["ids"]) for row in chosen.mapInArrow(run, "ids binary").collect()]
+    samples = [bytes(row["ids"]) for row in chosen.select("text").mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
