@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.bytes import LOWER, blocks, byte_table, mixed, prefix_hashes, substring_hashes, text_bytes, words
-from tallyhouse.llm.session import others
+from tallyhouse.llm.session import others, stored
 
 WINDOW = 10
 ITEM_BLOCK_BYTES = 16 << 20
@@ -292,10 +292,14 @@ def matches(
     docs = others(docs, *added, *got)
     kind = T.LongType() if isinstance(benchmark.schema[item_column].dataType, T.IntegralType) else T.StringType()
     benchmark = benchmark.withColumn(item_column, F.col(item_column).cast(kind))
-    found = [(ids, test_suffixes(ids, texts, window)) for ids, texts in _item_blocks(benchmark, item_column, item_text, item_block_bytes)]
-    out = _scan(docs, text_column, kind, *found[0], window, prefix)
-    for ids, tests in found[1:]:
-        held = out.select(*docs.columns, *[F.col(a).alias(g) for a, g in zip(added[1:], got, strict=True)])
+    out = None
+    for ids, texts in _item_blocks(benchmark, item_column, item_text, item_block_bytes):
+        tests = test_suffixes(ids, texts, window)
+        if out is None:
+            out = _scan(docs, text_column, kind, ids, tests, window, prefix)
+            continue
+        # What the blocks before gave is written, so the driver and the plan hold one table at a time.
+        held = stored(out, "item-block").select(*docs.columns, *[F.col(a).alias(g) for a, g in zip(added[1:], got, strict=True)])
         spans, longest, items = (F.col(x) for x in added[1:])
         out = _scan(held, text_column, kind, ids, tests, window, prefix).select(
             *docs.columns,
