@@ -23,7 +23,7 @@ from tallyhouse.contracts import (
 from tallyhouse.functions import sql
 from tallyhouse.functions.rules import union_all, unpivot_row, violation_counts
 from tallyhouse.functions.time import parse_timestamp_sql
-from tallyhouse.operators.quality import key_statistics, orphan_counts
+from tallyhouse.operators.key_index import KeyUse, key_facts, reference_use, rule_rows
 
 SCHEMA = "marketplace"
 
@@ -154,45 +154,52 @@ def validate_domains(tables: Tables, contracts: ContractSet = MARKETPLACE) -> Da
     return row_rule_report(tables, domain_rules(contracts))
 
 
-def uniqueness_report(tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
-    """Declared keys and unique column sets: rows in duplicate groups, plus rows with a null in a key."""
-    reports = []
+def _uniqueness_rules(tables: Tables, contracts: ContractSet) -> dict[str, tuple[KeyUse, str]]:
+    """Rows beyond the first of each key, plus rows with a null in a key."""
+    rules = {}
     for table in contracts.model.values():
         columns = table.key or table.unique
-        if table.name not in tables or not columns:
-            continue
-        violations = F.col("duplicate_key_occurrences")
-        if table.key:
-            violations = violations + F.col("null_key_rows")
-        name = f"{table.name}.{'_'.join(columns) if table.key else 'observation'}.unique"
-        counts = key_statistics(tables[table.name], columns).select(
-            F.lit(name).alias("check_name"), violations.alias("violation_count")
-        )
-        reports.append(_report(counts, table.name))
-    return union_all(reports)
+        if table.name in tables and columns:
+            name = f"{table.name}.{'_'.join(columns) if table.key else 'observation'}.unique"
+            rules[name] = (KeyUse(table.name, columns), "surplus_rows + null_rows" if table.key else "surplus_rows")
+    return rules
+
+
+def _reference_rules(tables: Tables, references: Iterable[Reference]) -> dict[str, tuple[KeyUse, str]]:
+    """Child rows whose non-null key has no parent."""
+    return {
+        rule.name: (reference_use(rule.child, rule.column, rule.parent, rule.parent_column), "orphan_rows")
+        for rule in references
+        if rule.child in tables and rule.parent in tables
+    }
+
+
+def _key_rule_report(tables: Tables, rules: Mapping[str, tuple[KeyUse, str]]) -> DataFrame:
+    """Report of key rules, all from one shuffle of the keys."""
+    counted = rule_rows(key_facts(tables, [use for use, _ in rules.values()]), rules)
+    table = "CASE " + " ".join(f"WHEN rule = {sql.literal(name)} THEN {sql.literal(use.table)}" for name, (use, _) in rules.items()) + " END"
+    return counted.selectExpr(
+        "rule AS check_name",
+        f"concat('{SCHEMA}.', {table}) AS table_name",
+        "counted AS violation_count",
+        "if(counted = 0, 'passed', 'failed') AS status",
+    )
+
+
+def uniqueness_report(tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
+    """Declared keys and unique column sets: rows in duplicate groups, plus rows with a null in a key."""
+    return _key_rule_report(tables, _uniqueness_rules(tables, contracts))
 
 
 def reference_report(tables: Tables, references: Iterable[Reference]) -> DataFrame:
     """Declared foreign keys: child rows whose non-null key has no parent."""
-    reports = []
-    for rule in references:
-        if rule.child in tables and rule.parent in tables:
-            counts = orphan_counts(
-                tables[rule.child], rule.column, tables[rule.parent], rule.parent_column
-            ).select(F.lit(rule.name).alias("check_name"), F.col("orphan_rows").alias("violation_count"))
-            reports.append(_report(counts, rule.child))
-    return union_all(reports)
+    return _key_rule_report(tables, _reference_rules(tables, references))
 
 
 def declared_constraints(tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
     """Everything the published model declares: uniqueness, foreign keys and row constraints."""
-    return union_all(
-        [
-            uniqueness_report(tables, contracts),
-            reference_report(tables, contracts.model_references),
-            row_rule_report(tables, declared_row_rules()),
-        ]
-    )
+    keys = _uniqueness_rules(tables, contracts) | _reference_rules(tables, contracts.model_references)
+    return _key_rule_report(tables, keys).unionByName(row_rule_report(tables, declared_row_rules()))
 
 
 def processed_summary(tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:

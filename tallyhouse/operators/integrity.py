@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.rules import union_all, violation_counts
+from tallyhouse.operators.key_index import KeyUse, key_facts, reference_use, rule_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -32,23 +33,24 @@ ROW_CHECKS = {
 }
 
 
-def _named(name: str, counted: DataFrame) -> DataFrame:
-    return counted.select(F.lit(name).alias("check_name"), F.coalesce("n", F.lit(0)).alias("violation_count"))
-
-
-def duplicate_groups(df: DataFrame, column: str, name: str = "customers_duplicate_pk") -> DataFrame:
-    """Number of values that occur more than once (groups, not rows)."""
-    groups = df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("k"))
-    return _named(name, groups.agg(F.count_if(F.col("k") > 1).alias("n")))
+# Rule -> (key use, violations in terms of its facts). A null key has no parent and counts as an orphan; a null category
+# is allowed.
+KEY_RULES = {"customers_duplicate_pk": (KeyUse("customers", ("customer_id",)), "duplicate_groups")}
+KEY_RULES |= {
+    name: (reference_use(child, column, parent, column), "orphan_rows + null_rows")
+    for name, (child, column, parent) in ORPHAN_CHECKS.items()
+}
+KEY_RULES["products_without_category_dimension"] = (
+    reference_use("products", "product_category_name", "product_categories", "product_category_name"),
+    "orphan_rows",
+)
 
 
-def unmatched_rows(
-    child: DataFrame, column: str, parent: DataFrame, name: str, parent_column: str | None = None
-) -> DataFrame:
-    """Child rows without a parent; a null key has none. Keys are counted before the anti join."""
-    keys = child.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("k"))
-    known = parent.select(F.col(parent_column or column).alias("key")).distinct()
-    return _named(name, keys.join(known, "key", "left_anti").agg(F.sum("k").alias("n")))
+def key_rule_counts(tables: Tables, names: Iterable[str] = KEY_RULES) -> DataFrame:
+    """(check_name, violation_count) of key rules, all from one shuffle of the keys."""
+    rules = {name: KEY_RULES[name] for name in names}
+    facts = key_facts(tables, [use for use, _ in rules.values()])
+    return rule_rows(facts, rules).selectExpr("rule AS check_name", "counted AS violation_count")
 
 
 def row_checks(tables: Tables, names: list[str] | None = None) -> DataFrame:
@@ -60,21 +62,9 @@ def row_checks(tables: Tables, names: list[str] | None = None) -> DataFrame:
     return union_all(violation_counts(tables[table], rules) for table, rules in by_table.items())
 
 
-def categories_without_dimension(tables: Tables) -> DataFrame:
-    products = tables["products"].filter(F.col("product_category_name").isNotNull())
-    return unmatched_rows(
-        products, "product_category_name", tables["product_categories"], "products_without_category_dimension"
-    )
-
-
 def integrity_checks(tables: Tables) -> DataFrame:
     """All fourteen checks with their status, most urgent wording last as the status sorts descending."""
-    counted = [duplicate_groups(tables["customers"], "customer_id")]
-    counted += [
-        unmatched_rows(tables[child], column, tables[parent], name)
-        for name, (child, column, parent) in ORPHAN_CHECKS.items()
-    ]
-    counted += [categories_without_dimension(tables), row_checks(tables)]
+    counted = [key_rule_counts(tables), row_checks(tables)]
     status = (
         F.when(F.col("check_name").like("retained_%"), "informational")
         .when(F.col("violation_count") == 0, "passed")

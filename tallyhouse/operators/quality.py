@@ -5,17 +5,18 @@ Statuses: ``passed``, ``review`` (observed, tolerated) and ``failed``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.contracts import MARKETPLACE, AllowedValues, ContractSet, Reference, SourceTable, TimeOrder
+from tallyhouse.contracts import MARKETPLACE, AllowedValues, ContractSet, TimeOrder
 from tallyhouse.functions import sql
 from tallyhouse.functions.rounding import report_percent
 from tallyhouse.functions.rules import empty_frame, union_all, unpivot_row
-from tallyhouse.functions.time import parse_timestamp_sql
+from tallyhouse.functions.time import LAYOUTS, STANDARD, layout_counts_sql, parse_timestamp_sql
+from tallyhouse.operators.key_index import FACTS, KeyUse, key_facts, reference_use
 
 SCHEMA_REPORT = (
     "file_name string, status string, missing_columns string, unexpected_columns string, "
@@ -79,101 +80,73 @@ def key_statistics(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     )
 
 
-def key_check(df: DataFrame, table: SourceTable) -> DataFrame:
-    """One report row for the declared key of one table."""
-    violated = (F.col("null_key_rows") > 0) | (F.col("duplicate_key_rows") > 0)
-    return key_statistics(df, table.key).select(
-        F.lit(table.file_name).alias("file_name"),
-        F.lit(table.grain).alias("grain"),
-        F.lit(" + ".join(table.key)).alias("primary_key"),
-        "row_count",
-        "null_key_rows",
-        "duplicate_key_rows",
-        "duplicate_key_occurrences",
-        _status(violated, "failed").alias("status"),
-    )
-
-
 def key_checks(spark: SparkSession, tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
-    """Declared keys; tables without a key, or without one of its columns, are skipped."""
-    reports = [
-        key_check(tables[name], table)
+    """Declared keys, all from one shuffle; tables without a key, or without one of its columns, are skipped."""
+    keyed = [
+        table
         for name, table in contracts.sources.items()
         if table.key and name in tables and set(table.key) <= set(tables[name].columns)
     ]
-    return union_all(reports) if reports else empty_frame(spark, KEY_REPORT)
-
-
-def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """One row: child rows, null keys, orphan rows, distinct orphan keys.
-
-    Child rows shrink to one per key before the join. Both sides leave their aggregation partitioned by the
-    key, so the join adds no shuffle and a key held by a third of the child rows does not skew it.
-    """
-    keys = child.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    known = (
-        parent.filter(F.col(parent_column).isNotNull())
-        .select(F.col(parent_column).alias("key"))
-        .distinct()
-        .withColumn("known", F.lit(True))
-    )
-    orphan = F.col("key").isNotNull() & F.col("known").isNull()
-    n = F.col("n")
-    return keys.join(known, "key", "left").agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("child_rows"),
-        F.coalesce(F.sum(F.when(F.col("key").isNull(), n)), F.lit(0)).alias("null_child_keys"),
-        F.coalesce(F.sum(F.when(orphan, n)), F.lit(0)).alias("orphan_rows"),
-        F.count_if(orphan).alias("distinct_orphan_keys"),
-    )
-
-
-def reference_check(child: DataFrame, parent: DataFrame, rule: Reference, contracts: ContractSet) -> DataFrame:
-    """One report row for one foreign key."""
-    violated = F.col("orphan_rows") > 0
-    if not rule.nullable:
-        violated = violated | (F.col("null_child_keys") > 0)
-    non_null = "child_rows - null_child_keys"
-    return orphan_counts(child, rule.column, parent, rule.parent_column).select(
-        F.lit(rule.name).alias("relationship"),
-        F.lit(f"{contracts.file_name(rule.child)}:{rule.column}").alias("child_reference"),
-        F.lit(f"{contracts.file_name(rule.parent)}:{rule.parent_column}").alias("parent_reference"),
-        "child_rows",
-        "null_child_keys",
-        "orphan_rows",
-        "distinct_orphan_keys",
-        report_percent(f"({non_null} - orphan_rows)", f"({non_null})", empty=100.0).alias("matched_non_null_percent"),
-        _status(violated, "failed" if rule.strict else "review").alias("status"),
+    if not keyed:
+        return empty_frame(spark, KEY_REPORT)
+    uses = [KeyUse(table.name, table.key) for table in keyed]
+    rows = [(use.label, table.file_name, table.grain, " + ".join(table.key)) for use, table in zip(uses, keyed, strict=True)]
+    described = spark.createDataFrame(rows, "label string, file_name string, grain string, primary_key string")
+    violated = (F.col("null_rows") > 0) | (F.col("duplicate_rows") > 0)
+    return described.join(key_facts(tables, uses), "label").select(
+        "file_name",
+        "grain",
+        "primary_key",
+        "row_count",
+        F.col("null_rows").alias("null_key_rows"),
+        F.col("duplicate_rows").alias("duplicate_key_rows"),
+        F.col("surplus_rows").alias("duplicate_key_occurrences"),
+        _status(violated, "failed").alias("status"),
     )
 
 
 def reference_checks(spark: SparkSession, tables: Tables, contracts: ContractSet = MARKETPLACE) -> DataFrame:
-    """All foreign keys; an absent table or column is a failed row of zeros."""
-    reports, absent = [], []
+    """All foreign keys from one shuffle; an absent table or column is a failed row of zeros."""
+    described, uses = [], []
     for rule in contracts.references:
         child, parent = tables.get(rule.child), tables.get(rule.parent)
-        if child is None or parent is None or rule.column not in child.columns:
-            absent.append(rule)
-        elif rule.parent_column not in parent.columns:
-            absent.append(rule)
-        else:
-            reports.append(reference_check(child, parent, rule, contracts))
-    if absent:
-        rows = [
+        present = child is not None and parent is not None and rule.column in child.columns and rule.parent_column in parent.columns
+        use = reference_use(rule.child, rule.column, rule.parent, rule.parent_column)
+        if present:
+            uses.append(use)
+        described.append(
             (
                 rule.name,
+                use.label if present else None,
                 f"{contracts.file_name(rule.child)}:{rule.column}",
                 f"{contracts.file_name(rule.parent)}:{rule.parent_column}",
-                0,
-                0,
-                0,
-                0,
-                0.0,
-                "failed",
+                not rule.nullable,
+                "failed" if rule.strict else "review",
             )
-            for rule in absent
-        ]
-        reports.append(spark.createDataFrame(rows, REFERENCE_REPORT))
-    return union_all(reports) if reports else empty_frame(spark, REFERENCE_REPORT)
+        )
+    if not described:
+        return empty_frame(spark, REFERENCE_REPORT)
+    rules = spark.createDataFrame(
+        described,
+        "relationship string, label string, child_reference string, parent_reference string, filled boolean, severity string",
+    )
+    if uses:
+        found = rules.join(key_facts(tables, uses), "label", "left")
+    else:
+        found = rules.withColumns({fact: F.lit(None).cast("bigint") for fact in FACTS})
+    counts = {"row_count": "child_rows", "null_rows": "null_child_keys", "orphan_rows": "orphan_rows", "orphan_keys": "distinct_orphan_keys"}
+    counted = found.select(
+        "relationship", "label", "child_reference", "parent_reference", "filled", "severity",
+        *[F.coalesce(F.col(fact), F.lit(0)).alias(name) for fact, name in counts.items()],
+    )
+    violated = (F.col("orphan_rows") > 0) | (F.col("filled") & (F.col("null_child_keys") > 0))
+    absent = F.col("label").isNull()
+    matched = report_percent("(child_rows - null_child_keys - orphan_rows)", "(child_rows - null_child_keys)", empty=100.0)
+    return counted.select(
+        "relationship", "child_reference", "parent_reference", *counts.values(),
+        F.when(absent, F.lit(0.0)).otherwise(matched).alias("matched_non_null_percent"),
+        F.when(absent, "failed").when(violated, F.col("severity")).otherwise("passed").alias("status"),
+    )
 
 
 def disallowed_values(df: DataFrame, rule: AllowedValues) -> DataFrame:
@@ -211,16 +184,26 @@ def allowed_value_check(df: DataFrame, rule: AllowedValues, contracts: ContractS
     )
 
 
-def _timestamp_sql(df: DataFrame, column: str) -> str:
+def _timestamp_sql(df: DataFrame, column: str, layout: str) -> str:
     value = sql.name(column)
     text = isinstance(df.schema[column].dataType, T.StringType)
-    return f"({parse_timestamp_sql(value)})" if text else f"CAST({value} AS timestamp_ntz)"
+    return f"({parse_timestamp_sql(value, layout)})" if text else f"CAST({value} AS timestamp_ntz)"
+
+
+def _layouts(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
+    """Layouts of text columns by vote; of two that read as many values the first one holds here."""
+    texts = [column for column in columns if isinstance(df.schema[column].dataType, T.StringType)]
+    if not texts:
+        return {}
+    row = df.selectExpr(*[f"{layout_counts_sql(sql.name(column))} AS c{i}" for i, column in enumerate(texts)]).first()
+    return {column: max(LAYOUTS, key=lambda layout: counts[layout]) for column, counts in zip(texts, row, strict=True)}
 
 
 def time_order_check(df: DataFrame, rules: list[TimeOrder], contracts: ContractSet = MARKETPLACE) -> DataFrame:
     """Report rows for all timestamp rules of one table, from one aggregate; a violation is for review only."""
     needed = dict.fromkeys(column for rule in rules for column in (rule.earlier, rule.later))
-    parsed = df.selectExpr(*[f"{_timestamp_sql(df, column)} AS {sql.name(column)}" for column in needed])
+    layouts = _layouts(df, needed)
+    parsed = df.selectExpr(*[f"{_timestamp_sql(df, column, layouts.get(column, STANDARD))} AS {sql.name(column)}" for column in needed])
     counters = []
     for i, rule in enumerate(rules):
         earlier, later = sql.name(rule.earlier), sql.name(rule.later)

@@ -89,8 +89,12 @@ def test_schema_differences(spark):
 
 
 def test_integrity_counts_null_keys_as_orphans(spark):
-    child = spark.createDataFrame([("a",), (None,), ("x",), ("x",)], "k string")
-    parent = spark.createDataFrame([("a",), (None,)], "k string")
-    assert rows(I.unmatched_rows(child, "k", parent, "n"), "violation_count") == [3]
-    assert rows(I.duplicate_groups(child, "k"), "violation_count") == [1]
-    assert rows(I.unmatched_rows(parent.filter("k = 'a'"), "k", parent, "n"), "violation_count") == [0]
+    orders = spark.createDataFrame([("a",), (None,), ("x",), ("x",)], "customer_id string")
+    customers = spark.createDataFrame([("a",), ("a",), (None,)], "customer_id string")
+    names = ["orders_without_customer", "customers_duplicate_pk"]
+    count = lambda child, parent: {
+        r.check_name: r.violation_count for r in I.key_rule_counts({"orders": child, "customers": parent}, names).collect()
+    }
+    assert count(orders, customers) == {"orders_without_customer": 3, "customers_duplicate_pk": 1}
+    assert count(orders.limit(0), customers) == {"orders_without_customer": 0, "customers_duplicate_pk": 1}
+    assert count(orders.filter("customer_id = 'a'"), customers.limit(0)) == {"orders_without_customer": 1, "customers_duplicate_pk": 0}
