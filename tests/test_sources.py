@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 
 from tallyhouse.sources import csv as source
 from tallyhouse.sources import sinks
+from tallyhouse.sources.records import file_blocks
 
 
 def test_discovery_is_recursive_case_insensitive_and_sorted(spark, tmp_path):
@@ -52,7 +53,7 @@ def test_same_file_name_twice_raises(spark, tmp_path):
 def test_missing_tokens_quotes_and_lines(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('id,text\n1,NA\n2,"two\nlines, ""quoted"""\n3,  kept  \n4,""\n5\n\n6,n/a \n', encoding="utf-8")
-    assert source.csv_facts(spark, str(path)).open_quotes > 0
+    assert file_blocks(spark, str(path)).spans_lines
     found = {row.id: row.text for row in source.load_csv(spark, str(path)).collect()}
     assert found == {"1": None, "2": 'two\nlines, "quoted"', "3": "  kept  ", "4": None, "5": None, "6": "n/a "}
 
@@ -60,7 +61,7 @@ def test_missing_tokens_quotes_and_lines(spark, tmp_path):
 def test_file_without_open_quotes_is_split_by_lines(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('id,text\n1,"a ""b"" c"\n2,d\n', encoding="utf-8")
-    assert source.csv_facts(spark, str(path)).open_quotes == 0
+    assert not file_blocks(spark, str(path)).spans_lines
     assert rows(source.load_csv(spark, str(path)).orderBy("id"), "text") == ['a "b" c', "d"]
 
 
@@ -111,6 +112,21 @@ def test_digests_equal_sha256_of_the_bytes(spark, tmp_path):
     assert {r.table_name: r.files for r in one.collect()}["all"] >= 1
 
 
+def test_digest_of_a_file_beyond_one_value(spark, tmp_path):
+    """A sparse file of more than 2 GB, and one just beyond the values that the JVM digests."""
+    size = (2 << 30) + 12_345
+    for name, length in (("big.bin", size), ("with space.bin", sinks.VALUE_BYTES + 1), ("small.bin", 10)):
+        with open(tmp_path / name, "wb") as file:
+            file.truncate(length)
+    expected = {}
+    for path in tmp_path.iterdir():
+        with open(path, "rb") as file:
+            expected[path.name] = hashlib.file_digest(file, "sha256").hexdigest()
+    found = {row.path.rsplit("/", 1)[-1].replace("%20", " "): row for row in sinks.file_digests(spark, str(tmp_path)).collect()}
+    assert {name: row.sha256 for name, row in found.items()} == expected
+    assert found["big.bin"].length == size
+
+
 def test_json_sink(spark, tmp_path):
     sinks.write_json(spark, {"a": 1, "b": ["ü", None]}, str(tmp_path / "m.json"))
     assert sinks.read_json(spark, str(tmp_path / "m.json")) == {"a": 1, "b": ["ü", None]}
