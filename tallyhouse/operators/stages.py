@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.measures import delivered as is_delivered
 from tallyhouse.functions.measures import on_time
 from tallyhouse.functions.time import month_start
+from tallyhouse.operators.skew import join_dimension
 
 ORDER_DATES = ["order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date"]
 
@@ -79,7 +80,8 @@ def delivered_orders_reviewed(orders: DataFrame, order_reviews: DataFrame) -> Da
 def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, order_reviews: DataFrame) -> DataFrame:
     """Per (category, delivered order): item count, revenue, freight and the order's mean review.
 
-    Items shrink to (order, product) first; the review joins on the partitioning the order join needs anyway.
+    Items shrink to (order, product) first; the review joins on the partitioning the order join needs anyway. Products on
+    a large share of the lines get their category by broadcast.
     """
     lines = items.groupBy("order_id", "product_id").agg(
         F.count("*").alias("item_count"),
@@ -89,8 +91,7 @@ def category_order(items: DataFrame, orders: DataFrame, products: DataFrame, ord
     delivered = delivered_orders_reviewed(orders, order_reviews).select("order_id", "average_review_score")
     categories = products.select("product_id", F.col("product_category_name_english").alias("category_name"))
     return (
-        lines.join(delivered, "order_id")
-        .join(categories, "product_id")
+        join_dimension(lines.join(delivered, "order_id"), categories, "product_id", "category_name", "order_id")
         .groupBy("category_name", "order_id")
         .agg(
             F.sum("item_count").alias("item_count"),
