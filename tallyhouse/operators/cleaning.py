@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,7 +12,7 @@ from tallyhouse.contracts import INTEGER, MARKETPLACE, MONEY, NUMBER, SEQUENCE_F
 from tallyhouse.functions import sql
 from tallyhouse.functions.rules import unpivot_row
 from tallyhouse.functions.text import replace_columns, strip_text, stripped
-from tallyhouse.functions.time import parse_timestamp
+from tallyhouse.functions.time import STANDARD, AmbiguousLayout, layout_counts_sql, parse_timestamp, winning_layout
 
 
 class CleaningError(ValueError):
@@ -63,13 +63,28 @@ def coerce_numeric(df: DataFrame, columns: list[str], label: str, strict: bool =
     return replace_columns(df, {column: F.col(column).try_cast("double") for column in columns})
 
 
-def parse_timestamps(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Declared timestamps parsed; ``dq_invalid_<column>`` marks populated values that are none."""
+def timestamp_layouts(df: DataFrame, columns: list[str], label: str) -> dict[str, str]:
+    """Layout of each text column by the number of values that it reads, from one aggregate over all columns.
+
+    A column whose values follow two layouts alike stops the run, since each value would have two readings.
+    """
     _require(df, columns, label, "timestamp")
-    flags = {
-        f"dq_invalid_{column}": F.col(column).isNotNull() & parse_timestamp(column).isNull() for column in columns
-    }
-    return df.withColumns({**flags, **{column: parse_timestamp(column) for column in columns}})
+    texts = [column for column in columns if dict(df.dtypes)[column] == "string"]
+    if not texts:
+        return {}
+    row = df.selectExpr(*[f"{layout_counts_sql(sql.name(column))} AS c{i}" for i, column in enumerate(texts)]).first()
+    try:
+        return {column: winning_layout(counts, column) for column, counts in zip(texts, row, strict=True)}
+    except AmbiguousLayout as error:
+        raise CleaningError(f"{label}: {error}") from error
+
+
+def parse_timestamps(df: DataFrame, columns: list[str], label: str, layouts: Mapping[str, str] | None = None) -> DataFrame:
+    """Declared timestamps parsed; ``dq_invalid_<column>`` marks populated values that are none in the column's layout."""
+    _require(df, columns, label, "timestamp")
+    parsed = {column: parse_timestamp(column, (layouts or {}).get(column, STANDARD)) for column in columns}
+    flags = {f"dq_invalid_{column}": F.col(column).isNotNull() & value.isNull() for column, value in parsed.items()}
+    return df.withColumns({**flags, **parsed})
 
 
 def add_sequence_flags(df: DataFrame) -> DataFrame:
@@ -213,7 +228,8 @@ def clean_source_table(
         cleaned = coerce_numeric(cleaned, numeric, label, strict)
         rules.append(NUMERIC_RULE)
     if timestamps:
-        cleaned = parse_timestamps(cleaned, timestamps, label)
+        layouts = timestamp_layouts(cleaned, timestamps, label) if strict else None
+        cleaned = parse_timestamps(cleaned, timestamps, label, layouts)
         rules.append(TIMESTAMP_RULE)
 
     if table == "orders":

@@ -7,62 +7,61 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.cleaning import CleaningError, normalised_zip
+from tallyhouse.session import scratch_folder
 
 ZIP = "geolocation_zip_code_prefix"
 REQUIRED = (ZIP, "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state")
 
-# Grid widths, coarse to fine, that bound how many rows one median step sees per group: at most some hundred
-# thousand cells for coordinates, and in the end only the values inside one cell of the last width.
-CELL_WIDTHS = (0.002, 0.00000002)
+def weighted_values(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(group_key, axis, value, n): how often each value of each column occurs per key; nulls are left out."""
+    long = df.select(
+        F.col(key).alias("group_key"),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("value")) for c in columns])),
+    )
+    return long.filter(F.col("value").isNotNull()).groupBy("group_key", "axis", "value").agg(F.count("*").alias("n"))
+
+
+def middle_spans(ordered: DataFrame) -> DataFrame:
+    """Per group the parts (ranges of values) that hold a middle rank, and how many values lie before them."""
+    group = ["group_key", "axis"]
+    spans = ordered.groupBy("part", *group).agg(F.sum("n").alias("held"))
+    before = W.partitionBy(*group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    total = F.sum("held").over(W.partitionBy(*group))
+    placed = spans.withColumns(
+        {
+            "before": F.coalesce(F.sum("held").over(before), F.lit(0)),
+            "lower": F.floor((total + 1) / 2),
+            "upper": F.floor(total / 2) + 1,
+        }
+    )
+    return placed.filter(_holds_middle(F.col("before"), F.col("before") + F.col("held")))
 
 
-def _cell(width: float) -> Column:
-    """Grid cell of ``value``; monotone."""
-    return F.floor(F.col("value") / F.lit(width))
+def _holds_middle(before: Column, through: Column) -> Column:
+    inside = F.lit(False)
+    for rank in ("lower", "upper"):
+        inside = inside | ((F.col(rank) > before) & (F.col(rank) <= through))
+    return inside
 
 
 def exact_group_median(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Exact medians of several columns per key, without ever holding a whole group in one task.
+    """Exact medians of several columns per key, by a distributed prefix sum.
 
-    Equal values are counted first. Then the cell that holds the middle rank is found on a coarse grid, on a
-    finer grid inside that cell, and at last among its values. Each step aggregates on the map side and orders
-    a bounded number of cells, so one key may hold any share of the rows. Nulls are ignored; a key without any
+    Equal values are counted first. The counted values are dealt by range of (key, column, value) and stored, so a key with
+    any share of the rows lies in several parts, in order. Totals per part, summed up over the few parts of a key,
+    tell which part holds the middle rank; only that one is ordered further. Nulls are ignored; a key without any
     value is absent from the result.
     """
-    long = df.select(
-        F.col(key).alias("group_key"),
-        F.inline(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("value")) for c in columns])),
-    )
-    weighted = long.filter(F.col("value").isNotNull()).groupBy("group_key", "axis", "value").agg(F.count("*").alias("n"))
-    cells = [f"cell{i}" for i in range(len(CELL_WIDTHS))]
-    weighted = weighted.withColumns(dict(zip(cells, map(_cell, CELL_WIDTHS), strict=True)))
-
+    spark = df.sparkSession
     group = ["group_key", "axis"]
-    n = F.col("n")
-    picked = None
-    for depth, step in enumerate([*cells, "value"]):
-        path = [*group, *cells[:depth]]
-        if picked is None:
-            total = F.sum("n").over(W.partitionBy(*path))
-            sums = weighted.groupBy(*path, step).agg(F.sum("n").alias("n"))
-            ranked = sums.withColumns(
-                {
-                    "before": F.lit(0).cast("bigint"),
-                    "lower": F.floor((total + 1) / 2),
-                    "upper": F.floor(total / 2) + 1,
-                }
-            )
-        else:
-            inside = weighted.join(picked, path)
-            ranked = inside.groupBy(*path, "before", "lower", "upper", step).agg(F.sum("n").alias("n"))
-        running = F.sum("n").over(
-            W.partitionBy(*path).orderBy(step).rowsBetween(W.unboundedPreceding, W.currentRow)
-        )
-        placed = ranked.withColumn("through", F.col("before") + running).withColumn("before", F.col("through") - n)
-        middle = F.lit(False)
-        for rank in ("lower", "upper"):
-            middle = middle | ((F.col(rank) > F.col("before")) & (F.col(rank) <= F.col("through")))
-        picked = placed.filter(middle).select(*path, step, "before", "lower", "upper")
+    dealt = weighted_values(df, key, columns).repartitionByRange(*group, "value").withColumn("part", F.spark_partition_id())
+    path = scratch_folder(spark, "median")
+    dealt.write.parquet(path)
+    ordered = spark.read.schema(dealt.schema).parquet(path)
+    inside = ordered.join(middle_spans(ordered).drop("held"), ["part", *group])
+    running = F.sum("n").over(W.partitionBy("part", *group).orderBy("value"))
+    placed = inside.withColumn("through", F.col("before") + running)
+    picked = placed.filter(_holds_middle(F.col("through") - F.col("n"), F.col("through")))
     medians = []
     for column in columns:
         value = F.when(F.col("axis") == column, F.col("value"))

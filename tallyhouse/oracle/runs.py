@@ -37,6 +37,19 @@ def counts(views: dict[str, str]) -> str:
     return union(f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {{{view}}}" for name, view in views.items())
 
 
+def text_facts(views: dict[str, str]) -> str:
+    parts = []
+    for name, view in views.items():
+        columns = MARKETPLACE.sources[name].columns
+        read = f"(SELECT {', '.join(token(c) for c in columns)} FROM {{{view}}}) AS t"
+        parts += [
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count, COUNT({c}) AS filled_values, "
+            f"MIN({c}) AS least_value, MAX({c}) AS greatest_value, CAST(SUM(LENGTH({c})) AS BIGINT) AS characters FROM {read}"
+            for c in columns
+        ]
+    return union(parts)
+
+
 # Rows after cleaning the good sources: geolocation loses exact copies, categories gain the untranslated one.
 GOOD_OUTPUT = {
     **GOOD_SOURCES,
@@ -75,7 +88,7 @@ STATEMENTS = {
         SELECT {", ".join(token(c) for c in ("doc_id", "text", "lang", "source", "n_chars"))}
         FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
               FROM documents) AS t""",
-    "src_03_load_source_tables": counts(GOOD_SOURCES),
+    "src_03_load_source_tables": text_facts(GOOD_SOURCES),
     "src_04_audit_csv_directory": """
         SELECT 'orders.csv' AS file_name, 'audited' AS outcome, COUNT(*) AS row_count FROM {raw_orders}
         UNION ALL SELECT 'order_reviews.csv', 'audited', COUNT(*) FROM {raw_reviews}

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tallyhouse.contracts import MARKETPLACE, STATUS_RULE, ModelTable, declared_row_rules
 from tallyhouse.functions.fingerprint import table_fingerprint
-from tallyhouse.functions.rules import union_all
+from tallyhouse.functions import sql
+from tallyhouse.functions.rules import union_all, unpivot_row
 from tallyhouse.functions.text import strip_text
 from tallyhouse.operators import analyses as A
 from tallyhouse.operators import cleaning as C
@@ -304,24 +305,10 @@ def published_with_defects(tb: Testbed) -> dict[str, DataFrame]:
     return model
 
 
-@register("chk_01_customers_duplicate_pk")
-def _(tb: Testbed) -> DataFrame:
-    return I.duplicate_groups(published_with_defects(tb)["customers"], "customer_id")
-
-
-def _orphan_query(tb: Testbed, name: str) -> DataFrame:
-    child, column, parent = I.ORPHAN_CHECKS[name]
-    tables = published_with_defects(tb)
-    return I.unmatched_rows(tables[child], column, tables[parent], name)
-
-
-for _position, _name in enumerate(I.ORPHAN_CHECKS, start=2):
-    register(f"chk_{_position:02d}_{_name}")(lambda tb, name=_name: _orphan_query(tb, name))
-
-
-@register("chk_08_products_without_category_dimension")
-def _(tb: Testbed) -> DataFrame:
-    return I.categories_without_dimension(published_with_defects(tb))
+for _position, _name in enumerate(I.KEY_RULES, start=1):
+    register(f"chk_{_position:02d}_{_name}")(
+        lambda tb, name=_name: I.key_rule_counts(published_with_defects(tb), [name])
+    )
 
 
 for _position, _name in enumerate(I.ROW_CHECKS, start=9):
@@ -375,7 +362,7 @@ def _(tb: Testbed) -> DataFrame:
 
 @register("prf_05_candidate_keys")
 def _(tb: Testbed) -> DataFrame:
-    return measured(tb, P.candidate_keys)
+    return audit(tb).keys
 
 
 @register("prf_06_timestamp_problems")
@@ -652,9 +639,33 @@ def _(tb: Testbed) -> DataFrame:
     return source.load_csv(tb.spark, path)
 
 
+def text_facts(tables: dict[str, DataFrame]) -> DataFrame:
+    """What the columns of text tables hold: filled values, least and greatest one, and characters in all."""
+    frames = []
+    for name, df in tables.items():
+        columns = df.columns
+        facts = [
+            f"{fact}({sql.name(c)}) AS {fact}{i}" for i, c in enumerate(columns) for fact in ("count", "min", "max")
+        ] + [f"sum(length({sql.name(c)})) AS size{i}" for i, c in enumerate(columns)]
+        records = [
+            {
+                "table_name": sql.literal(name),
+                "column_name": sql.literal(c),
+                "row_count": "row_count",
+                "filled_values": f"count{i}",
+                "least_value": f"min{i}",
+                "greatest_value": f"max{i}",
+                "characters": f"size{i}",
+            }
+            for i, c in enumerate(columns)
+        ]
+        frames.append(unpivot_row(df.selectExpr("count(1) AS row_count", *facts), records))
+    return union_all(frames)
+
+
 @register("src_03_load_source_tables")
 def _(tb: Testbed) -> DataFrame:
-    return row_counts(source.load_source_tables(tb.spark, written_sources(tb)))
+    return text_facts(source.load_source_tables(tb.spark, written_sources(tb)))
 
 
 @register("src_04_audit_csv_directory")

@@ -5,12 +5,19 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from tallyhouse.contracts import MARKETPLACE
 from tallyhouse.functions.text import strip_text
 from tallyhouse.operators import cleaning as C
-from tallyhouse.operators.geolocation import build_geolocation_lookup, exact_group_median, representative_places
+from tallyhouse.operators.geolocation import (
+    build_geolocation_lookup,
+    exact_group_median,
+    middle_spans,
+    representative_places,
+    weighted_values,
+)
 
 ORDER = "order_id string, customer_id string, order_status string, order_purchase_timestamp string, " \
     "order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string, " \
@@ -135,3 +142,46 @@ def test_translation_names_must_be_unique_after_stripping(spark):
     names = spark.createDataFrame([("perf", "a"), (" perf", "b")], "product_category_name string, product_category_name_english string")
     with pytest.raises(C.CleaningError, match="perf"):
         C.translate_categories(products, names)
+
+
+def test_layouts_are_voted_by_column(spark):
+    frame = spark.createDataFrame(
+        [
+            ("2017-01-01 10:00", "31/12/2016", "12/31/2016 08:30", "2017/01/02", "2017-01-01 10:00:00.123456789"),
+            ("2017-01-02", "01/02/2017 09:15:30", "01/02/2017", "bad", None),
+            ("02/01/2017", "2017-02-01", None, "2017/13/01", "2017-02-30"),
+        ],
+        "a string, b string, c string, d string, e string",
+    )
+    layouts = C.timestamp_layouts(frame, list("abcde"), "t.csv")
+    assert layouts == {"a": "yyyy-MM-dd", "b": "dd/MM/yyyy", "c": "MM/dd/yyyy", "d": "yyyy/MM/dd", "e": "yyyy-MM-dd"}
+    found = C.parse_timestamps(frame, list("abcde"), "t.csv", layouts).collect()
+    assert [r.a for r in found] == [dt.datetime(2017, 1, 1, 10), dt.datetime(2017, 1, 2), None]
+    assert [r.b for r in found] == [dt.datetime(2016, 12, 31), dt.datetime(2017, 2, 1, 9, 15, 30), None]
+    assert [r.c for r in found] == [dt.datetime(2016, 12, 31, 8, 30), dt.datetime(2017, 1, 2), None]
+    assert [r.d for r in found] == [dt.datetime(2017, 1, 2), None, None]
+    assert [r.e for r in found] == [dt.datetime(2017, 1, 1, 10, 0, 0, 123456), None, None]
+    assert [r.dq_invalid_b for r in found] == [False, False, True]
+
+
+def test_a_column_of_two_readings_raises(spark):
+    frame = spark.createDataFrame([("01/02/2017",), ("03/04/2017",)], "at string")
+    with pytest.raises(C.CleaningError, match="dd/MM/yyyy and MM/dd/yyyy alike"):
+        C.timestamp_layouts(frame, ["at"], "t.csv")
+    assert C.timestamp_layouts(frame.limit(0), ["at"], "t.csv") == {"at": "yyyy-MM-dd"}
+
+
+def test_median_of_a_hot_key_is_dealt_over_parts(spark):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 500)) AS k", "cast(pmod(hash(id), 9973) as double) AS x")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = {r.k: r.x for r in exact_group_median(df, "k", ["x"]).collect()}
+        counted = weighted_values(df, "k", ["x"])
+        dealt = counted.repartitionByRange("group_key", "axis", "value").withColumn("part", F.spark_partition_id())
+        parts = dealt.groupBy("group_key").agg(F.countDistinct("part").alias("n")).filter("group_key = 'hot'").first().n
+        spans = middle_spans(dealt).filter("group_key = 'hot'").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert found == {r.k: r.x for r in df.groupBy("k").agg(F.median("x").alias("x")).collect()}
+    assert parts > 1 and spans <= 2

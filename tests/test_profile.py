@@ -11,8 +11,17 @@ def test_only_unique_non_null_ids_are_candidate_keys(spark):
         [("a", "x", "one", 1), ("b", "x", "two", 2), ("c", "y", "three", None)],
         "order_id string, customer_id string, label string, other_ID int",
     )
-    assert rows(P.candidate_keys(df, "t"), "column_name") == ["order_id"]
-    assert rows(P.candidate_keys(df.limit(0), "t"), "column_name") == []
+    assert rows(P.audit_table(df, "t").keys, "column_name") == ["order_id"]
+    assert rows(P.audit_table(df.limit(0), "t").keys, "column_name") == []
+
+
+def test_sketches_only_choose_what_is_counted(spark):
+    df = spark.range(20_000).selectExpr("id", "id % 19000 AS nearly_id", "id % 100 AS few_id", "nullif(id, 5) AS gap_id", "id AS other")
+    statistics = P.table_statistics({"t": df, "none": df.limit(0)})
+    assert P.possible_keys(statistics) == {"t": ["id", "nearly_id"]}
+    assert rows(P.candidate_keys({"t": df}, statistics), "column_name") == ["id"]
+    estimates = {r.column_name: r.distinct_estimate for r in statistics.filter("file_name = 't'").collect()}
+    assert abs(estimates["id"] - 20_000) < 1_500 and estimates["few_id"] == 100 and estimates["other"] is None
 
 
 def test_blank_timestamps_are_missing_and_bad_ones_counted(spark):
