@@ -168,7 +168,7 @@ def _uniqueness_rules(tables: Tables, contracts: ContractSet) -> dict[str, tuple
 def _reference_rules(tables: Tables, references: Iterable[Reference]) -> dict[str, tuple[KeyUse, str]]:
     """Child rows whose non-null key has no parent."""
     return {
-        rule.name: (reference_use(rule.child, rule.column, rule.parent, rule.parent_column), "orphan_rows")
+        rule.name: (reference_use(rule.child, rule.column, rule.parent, rule.column), "orphan_rows")
         for rule in references
         if rule.child in tables and rule.parent in tables
     }

@@ -414,6 +414,12 @@ def audit_totals(audit: Audit, discovered: int, load_errors: int) -> DataFrame:
     )
 
 
+def empty_totals(spark: SparkSession, discovered: int, load_errors: int) -> DataFrame:
+    """The same row where no file could be read."""
+    columns = "discovered_file_count bigint, audited_file_count bigint, load_error_count bigint, total_rows_across_source_tables bigint"
+    return spark.createDataFrame([(discovered, 0, load_errors, 0)], columns)
+
+
 def flag_counts(df: DataFrame) -> DataFrame:
     """(flag, true_rows) per ``dq_*`` column; null counts as false."""
     flags = [name for name in df.columns if name.startswith("dq_")]

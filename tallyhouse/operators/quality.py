@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.contracts import MARKETPLACE, AllowedValues, ContractSet, TimeOrder
+from tallyhouse.contracts import MARKETPLACE, AllowedValues, ContractSet, Precedence
 from tallyhouse.functions import sql
 from tallyhouse.functions.rounding import report_percent
 from tallyhouse.functions.rules import empty_frame, union_all, unpivot_row
@@ -110,8 +110,8 @@ def reference_checks(spark: SparkSession, tables: Tables, contracts: ContractSet
     described, uses = [], []
     for rule in contracts.references:
         child, parent = tables.get(rule.child), tables.get(rule.parent)
-        present = child is not None and parent is not None and rule.column in child.columns and rule.parent_column in parent.columns
-        use = reference_use(rule.child, rule.column, rule.parent, rule.parent_column)
+        present = child is not None and parent is not None and rule.column in child.columns and rule.column in parent.columns
+        use = reference_use(rule.child, rule.column, rule.parent, rule.column)
         if present:
             uses.append(use)
         described.append(
@@ -119,9 +119,9 @@ def reference_checks(spark: SparkSession, tables: Tables, contracts: ContractSet
                 rule.name,
                 use.label if present else None,
                 f"{contracts.file_name(rule.child)}:{rule.column}",
-                f"{contracts.file_name(rule.parent)}:{rule.parent_column}",
-                not rule.nullable,
-                "failed" if rule.strict else "review",
+                f"{contracts.file_name(rule.parent)}:{rule.column}",
+                not rule.tolerant,
+                "review" if rule.tolerant else "failed",
             )
         )
     if not described:
@@ -199,14 +199,14 @@ def _layouts(df: DataFrame, columns: Iterable[str]) -> dict[str, str]:
     return {column: max(LAYOUTS, key=lambda layout: counts[layout]) for column, counts in zip(texts, row, strict=True)}
 
 
-def time_order_check(df: DataFrame, rules: list[TimeOrder], contracts: ContractSet = MARKETPLACE) -> DataFrame:
+def time_order_check(df: DataFrame, rules: list[Precedence], contracts: ContractSet = MARKETPLACE) -> DataFrame:
     """Report rows for all timestamp rules of one table, from one aggregate; a violation is for review only."""
-    needed = dict.fromkeys(column for rule in rules for column in (rule.earlier, rule.later))
+    needed = dict.fromkeys(column for rule in rules for column in (rule.first.column, rule.then.column))
     layouts = _layouts(df, needed)
     parsed = df.selectExpr(*[f"{_timestamp_sql(df, column, layouts.get(column, STANDARD))} AS {sql.name(column)}" for column in needed])
     counters = []
     for i, rule in enumerate(rules):
-        earlier, later = sql.name(rule.earlier), sql.name(rule.later)
+        earlier, later = sql.name(rule.first.column), sql.name(rule.then.column)
         counters.append(f"count_if({earlier} IS NOT NULL AND {later} IS NOT NULL) AS comparable{i}")
         counters.append(f"count_if({earlier} > {later}) AS violation{i}")
     records = [
@@ -217,7 +217,7 @@ def time_order_check(df: DataFrame, rules: list[TimeOrder], contracts: ContractS
             "comparable_rows": f"comparable{i}",
             "violation_rows": f"violation{i}",
             "violation_percent": sql.percent(f"violation{i}", f"comparable{i}"),
-            "details": sql.literal(f"{rule.earlier} <= {rule.later}"),
+            "details": sql.literal(f"{rule.first.column} <= {rule.then.column}"),
             "status": f"if(violation{i} > 0, 'review', 'passed')",
         }
         for i, rule in enumerate(rules)
@@ -232,10 +232,10 @@ def business_rule_checks(spark: SparkSession, tables: Tables, contracts: Contrac
         for rule in contracts.allowed_values
         if rule.table in tables and rule.column in tables[rule.table].columns
     ]
-    for table in dict.fromkeys(rule.table for rule in contracts.time_orders):
+    for table in dict.fromkeys(rule.table for rule in contracts.precedences):
         if table in tables:
             columns = set(tables[table].columns)
-            rules = [r for r in contracts.time_orders if r.table == table and {r.earlier, r.later} <= columns]
+            rules = [r for r in contracts.precedences if r.table == table and {r.first.column, r.then.column} <= columns]
             if rules:
                 reports.append(time_order_check(tables[table], rules, contracts))
     return union_all(reports) if reports else empty_frame(spark, RULE_REPORT)

@@ -202,8 +202,8 @@ UNIQUE = [unique(t, "_".join(t.key) if t.key else "observation") for t in MARKET
 
 def reference(rule) -> str:
     lost = (
-        f"{rule.column} IS NOT NULL AND {rule.column} NOT IN (SELECT {rule.parent_column} "
-        f"FROM {{{CLEANED[rule.parent]}}} WHERE {rule.parent_column} IS NOT NULL)"
+        f"{rule.column} IS NOT NULL AND {rule.column} NOT IN (SELECT {rule.column} "
+        f"FROM {{{CLEANED[rule.parent]}}} WHERE {rule.column} IS NOT NULL)"
     )
     return f"""
         SELECT '{rule.name}' AS check_name, 'marketplace.{rule.child}' AS table_name, COUNT(*) AS violation_count,

@@ -37,20 +37,20 @@ def key_check(name: str, view: str) -> str:
 
 def reference_check(rule, views=TYPED) -> str:
     child, parent = views[rule.child], views[rule.parent]
-    violated = "orphan_rows > 0" if rule.nullable else "orphan_rows > 0 OR null_child_keys > 0"
+    violated = "orphan_rows > 0" if rule.tolerant else "orphan_rows > 0 OR null_child_keys > 0"
     return f"""
         SELECT '{rule.name}' AS relationship,
                '{MARKETPLACE.file_name(rule.child)}:{rule.column}' AS child_reference,
-               '{MARKETPLACE.file_name(rule.parent)}:{rule.parent_column}' AS parent_reference,
+               '{MARKETPLACE.file_name(rule.parent)}:{rule.column}' AS parent_reference,
                child_rows, null_child_keys, orphan_rows, distinct_orphan_keys,
                {percent("child_rows - null_child_keys - orphan_rows", "child_rows - null_child_keys", "100.0")}
                    AS matched_non_null_percent,
-               CASE WHEN {violated} THEN '{"failed" if rule.strict else "review"}' ELSE 'passed' END AS status
+               CASE WHEN {violated} THEN '{"review" if rule.tolerant else "failed"}' ELSE 'passed' END AS status
         FROM (SELECT COUNT(*) AS child_rows, COUNT(*) FILTER (WHERE k IS NULL) AS null_child_keys,
                      COUNT(*) FILTER (WHERE lost) AS orphan_rows,
                      COUNT(DISTINCT k) FILTER (WHERE lost) AS distinct_orphan_keys
               FROM (SELECT {rule.column} AS k, {rule.column} IS NOT NULL AND {rule.column} NOT IN
-                        (SELECT {rule.parent_column} FROM {{{parent}}} WHERE {rule.parent_column} IS NOT NULL) AS lost
+                        (SELECT {rule.column} FROM {{{parent}}} WHERE {rule.column} IS NOT NULL) AS lost
                     FROM {{{child}}}) AS marked) AS counted"""
 
 
@@ -71,13 +71,13 @@ def time_order_check(rule) -> str:
     return f"""
         SELECT '{rule.name}' AS rule_name, '{MARKETPLACE.file_name(rule.table)}' AS file_name,
                'timestamp_order' AS rule_type,
-               COUNT(*) FILTER (WHERE {rule.earlier} IS NOT NULL AND {rule.later} IS NOT NULL) AS comparable_rows,
-               COUNT(*) FILTER (WHERE {rule.earlier} > {rule.later}) AS violation_rows,
-               {percent(f"COUNT(*) FILTER (WHERE {rule.earlier} > {rule.later})",
-                        f"COUNT(*) FILTER (WHERE {rule.earlier} IS NOT NULL AND {rule.later} IS NOT NULL)")}
+               COUNT(*) FILTER (WHERE {rule.first.column} IS NOT NULL AND {rule.then.column} IS NOT NULL) AS comparable_rows,
+               COUNT(*) FILTER (WHERE {rule.first.column} > {rule.then.column}) AS violation_rows,
+               {percent(f"COUNT(*) FILTER (WHERE {rule.first.column} > {rule.then.column})",
+                        f"COUNT(*) FILTER (WHERE {rule.first.column} IS NOT NULL AND {rule.then.column} IS NOT NULL)")}
                    AS violation_percent,
-               '{rule.earlier} <= {rule.later}' AS details,
-               CASE WHEN COUNT(*) FILTER (WHERE {rule.earlier} > {rule.later}) > 0 THEN 'review' ELSE 'passed' END
+               '{rule.first.column} <= {rule.then.column}' AS details,
+               CASE WHEN COUNT(*) FILTER (WHERE {rule.first.column} > {rule.then.column}) > 0 THEN 'review' ELSE 'passed' END
                    AS status
         FROM {{{TYPED[rule.table]}}}"""
 
@@ -88,7 +88,7 @@ def union(parts) -> str:
 
 KEY_CHECKS = union(key_check(name, view) for name, view in TYPED.items() if MARKETPLACE.sources[name].key)
 REFERENCE_CHECKS = union(reference_check(rule) for rule in MARKETPLACE.references)
-TIME_CHECKS = union(time_order_check(rule) for rule in MARKETPLACE.time_orders)
+TIME_CHECKS = union(time_order_check(rule) for rule in MARKETPLACE.precedences)
 
 
 def orphans(check: str, child: str, column: str, parent: str) -> str:

@@ -162,7 +162,7 @@ def _(tb: Testbed) -> DataFrame:
 def _(tb: Testbed) -> DataFrame:
     tables = tb.typed_sources()
     reports = [
-        Q.time_order_check(tables[name], [rule for rule in MARKETPLACE.time_orders if rule.table == name])
+        Q.time_order_check(tables[name], [rule for rule in MARKETPLACE.precedences if rule.table == name])
         for name in ("orders", "order_reviews")
     ]
     return reports[0].unionByName(reports[1])
@@ -750,7 +750,7 @@ def _(tb: Testbed) -> DataFrame:
 def _(tb: Testbed) -> DataFrame:
     tables = tb.marketplace()
     results = {name: analysis(tables) for name, analysis in A.ANALYSES.items()}
-    return analytics_plan.analytics_lineage(results).select("query_name", "row_count", "columns")
+    return analytics_plan.analytics_lineage(results).select("query_name", "row_count", "columns", "query_sha256")
 
 
 @register("snk_08_load_evidence")
@@ -798,4 +798,4 @@ def _(tb: Testbed) -> DataFrame:
     lineage = analytics_plan.run_analytics_pipeline(
         tb.spark, tb.marketplace(), scratch_folder(tb.spark, "extracts"), "parquet"
     )
-    return lineage.select("query_name", "row_count", "columns")
+    return lineage.select("query_name", "row_count", "columns", "query_sha256")
