@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tallyhouse.contracts import MARKETPLACE, RESULT_COLUMNS
+from tallyhouse.functions.lineage import closure_digest
 from tallyhouse.functions.text import MISSING_TOKENS
+from tallyhouse.operators.analyses import ANALYSES
 from tallyhouse.oracle.cleaning import CLEANED, RAW, TIMES, as_text
 from tallyhouse.oracle.quality import union
 from tallyhouse.sources.testbed import GOOD_SOURCES
@@ -74,7 +76,8 @@ def lineage(inputs: dict[str, str], outputs: dict[str, str]) -> str:
 
 
 ANALYTICS_LINEAGE = union(
-    f"SELECT '{name}' AS query_name, COUNT(*) AS row_count, '{', '.join(columns)}' AS columns "
+    f"SELECT '{name}' AS query_name, COUNT(*) AS row_count, '{', '.join(columns)}' AS columns, "
+    f"'{closure_digest(ANALYSES[name])}' AS query_sha256 "
     f"FROM {{{ANALYSIS_VIEWS[name]}}}"
     for name, columns in RESULT_COLUMNS.items()
 )

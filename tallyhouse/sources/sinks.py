@@ -211,7 +211,8 @@ def current_version(spark: SparkSession, target: str) -> str | None:
     return f"{target.rstrip('/')}/versions/{name}" if name else None
 
 
-def discard_staged(spark: SparkSession, staged: str) -> None:
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a run wrote for itself."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staged)
+    path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
