@@ -7,7 +7,7 @@ answers, so the result equals that of applying the merges in order, in linear ti
 ids from one array of token bytes and its offsets.
 
 Texts are cut into pieces as the tokenizer does, and the pieces of each distinct chunk between spaces are encoded once by a
-worker (memory is bounded by ``CHUNKS_KEPT`` chunks of up to ``LONG_CHUNK`` characters and ``PAIRS_KEPT`` pairs, which change the
+worker (memory is bounded by twice ``CHUNKS_KEPT`` chunks of up to ``LONG_CHUNK`` characters and ``PAIRS_KEPT`` pairs, which change the
 speed, never the result). Special tokens in a text become their ids.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise;
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -32,9 +33,11 @@ from pyspark.sql import types as T
 from tallyhouse.llm.session import others
 
 VOCABULARY = "byte_bpe_50k.json"
-CHUNKS_KEPT = 300_000
+CHUNKS_KEPT = 300_000  # in each of two halves
 PAIRS_KEPT = 400_000
 LONG_CHUNK = 200
+# Signs that are one piece behind a word.
+STOPS = ".,;:!?"
 # A space between white space, or between white space and the end: there the cut depends on more than one chunk.
 OPEN_SPACE = re.compile(r"\s (?:\s|\Z)")
 
@@ -84,7 +87,7 @@ class Vocabulary:
         self.lengths = [0 if t is None else len(t) for t in self.tokens]
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
         self.blob = np.frombuffer(b"".join(t or b"" for t in self.tokens), np.uint8)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def _shorter(self, token: bytes) -> int | None:
         """Longest token that is a proper prefix."""
@@ -95,11 +98,12 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the boundary between two adjacent tokens survives all merges."""
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._survives(left, right)
+            known = self.pairs[pair] = self._survives(left, right)
         return known
 
     def _survives(self, left: int, right: int) -> bool:
@@ -126,44 +130,54 @@ class Vocabulary:
         """Ids of one piece: the run of longest tokens if all its pairs are compatible, else by backtracking."""
         text = piece.decode("latin-1")
         run = [i for _, (_, i) in self.automaton.iter_long(text)]
-        known = self.pairs.get
-        for pair in zip(run, run[1:]):
-            held = known(pair)
-            if held is None:
-                held = self.compatible(*pair)
-            if not held:
-                return self._by_backtracking(text, run)
+        known, before = self.pairs.get, run[0]
+        for n, token in enumerate(run):
+            if n:
+                held = known(before << 32 | token)
+                if held is None:
+                    held = self.compatible(before, token)
+                if not held:
+                    return self._by_backtracking(text, run, n)
+                before = token
         return run
 
-    def _by_backtracking(self, text: str, run: list[int]) -> list[int]:
+    def _by_backtracking(self, text: str, run: list[int], n: int) -> list[int]:
         """Longest tokens first; one that is not compatible with the token before it gives way to a shorter one.
 
-        The automaton is asked for the longest token of a place when it is first needed; those of ``run`` are known.
+        The longest tokens of ``run`` are known and compatible up to the ``n``-th; the automaton is asked for that of another
+        place when it is first needed.
         """
+        lengths, shorter, known = self.lengths, self.shorter, self.pairs.get
         longest = [-1] * len(text)
         at = 0
         for token in run:
             longest[at] = token
-            at += self.lengths[token]
-        out: list[int] = []
+            at += lengths[token]
+        out = run[:n]
+        at, token = sum([lengths[i] for i in out]), run[n]
         dead = bytearray(len(text) + 1)
-        at, token = 0, run[0]
         while True:
-            end = at + self.lengths[token]
-            if not dead[end] and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                at = end
-                if at == len(text):
-                    return out
-                token = longest[at]
-                if token < 0:
-                    token = longest[at] = next(self.automaton.iter_long(text, at))[1][1]
-                continue
-            fallback = self.shorter[token]
+            end = at + lengths[token]
+            if not dead[end]:
+                held = True
+                if out:
+                    held = known(out[-1] << 32 | token)
+                    if held is None:
+                        held = self.compatible(out[-1], token)
+                if held:
+                    out.append(token)
+                    at = end
+                    if at == len(text):
+                        return out
+                    token = longest[at]
+                    if token < 0:
+                        token = longest[at] = next(self.automaton.iter_long(text, at))[1][1]
+                    continue
+            fallback = shorter[token]
             if fallback is None:
                 dead[at] = 1
                 token = out.pop()
-                at -= self.lengths[token]
+                at -= lengths[token]
             else:
                 token = fallback
 
@@ -181,20 +195,43 @@ class Encoder(dict):
         self.pattern = regex.compile(PIECE)
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.vocabulary.special, key=len, reverse=True)) + ")") if self.vocabulary.special else None
         self.first = [s[:2] for s in self.vocabulary.special]
+        self.older: dict[str, tuple[bytes, str]] = {}
+        self.stops: dict[str, tuple[bytes, str]] = {}
+        self.decimal = [str(i) for i in range(len(self.vocabulary.tokens))]
 
     def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        ids = [i for piece in self.pattern.findall(" " + chunk) for i in self.vocabulary.piece_ids(piece.encode())]
-        got = np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
+        got = self.older.get(chunk)
+        if got is None:
+            word = chunk.rstrip(STOPS)
+            if not word.isalpha():
+                got = self._joined(self.pattern.findall(" " + chunk))
+            elif len(word) < len(chunk):  # a word and the signs behind it are two pieces
+                ids, shown = self[word]
+                more, more_shown = self._stops(chunk[len(word) :])
+                got = ids + more, f"{shown},{more_shown}"
+            else:
+                got = self._joined([" " + word])
         if len(chunk) <= LONG_CHUNK:
             if len(self) >= CHUNKS_KEPT:
+                # Chunks that are used again come back from the older half; the others go with it.
+                self.older = dict(self)
                 self.clear()
             self[chunk] = got
         return got
 
-    def _encoded(self, pieces: list[str]) -> Iterator[tuple[bytes, str]]:
-        for piece in pieces:
-            ids = self.vocabulary.piece_ids(piece.encode())
-            yield np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
+    def _stops(self, stops: str) -> tuple[bytes, str]:
+        got = self.stops.get(stops)
+        if got is None:
+            got = self._joined([stops])
+            if len(stops) < 3:
+                self.stops[stops] = got
+        return got
+
+    def _joined(self, pieces: list[str]) -> tuple[bytes, str]:
+        """Packed ids and decimal text of pieces."""
+        find = self.vocabulary.piece_ids
+        ids = find(pieces[0].encode()) if len(pieces) == 1 else [i for piece in pieces for i in find(piece.encode())]
+        return array("I", ids).tobytes(), ",".join([self.decimal[i] for i in ids])
 
     def _pieces(self, text: str) -> list[tuple[bytes, str]]:
         """Packed ids and decimal text of the parts of a text, none of them empty."""
@@ -204,13 +241,13 @@ class Encoder(dict):
                 if part in self.vocabulary.special:
                     i = self.vocabulary.special[part]
                     out.append((np.array([i], "<u4").tobytes(), str(i)))
-                else:
-                    out.extend(self._encoded(self.pattern.findall(part)))
+                elif part:
+                    out.append(self._joined(self.pattern.findall(part)))
             return out
         first, space, rest = text.partition(" ")
         if not space or not first or first[-1].isspace() or OPEN_SPACE.search(" " + rest):
-            return list(self._encoded(self.pattern.findall(text)))
-        return [*self._encoded(self.pattern.findall(first)), *map(self.__getitem__, rest.split(" "))]
+            return [self._joined(self.pattern.findall(text))] if text else []
+        return [self._joined(self.pattern.findall(first)), *map(self.__getitem__, rest.split(" "))]
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text."""
