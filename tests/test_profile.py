@@ -97,3 +97,29 @@ def test_flag_counts_ignore_null(spark):
 def test_integers_are_what_a_bigint_holds(spark):
     df = spark.createDataFrame([("9223372036854775807", "9223372036854775808")], "fits string, beyond string")
     assert rows(P.column_statistics(df, "t").orderBy("position"), "inferred_type") == ["bigint", "double"]
+
+
+def test_each_text_pattern_is_compiled_once_for_all_columns(spark):
+    df = spark.range(3).selectExpr(*[f"cast(id AS string) AS c{i}" for i in range(6)], *[f"cast(id AS string) AS at{i}_time" for i in range(4)])
+    plan = P.column_statistics(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 5
+    assert [r.inferred_type for r in P.column_statistics(df, "t").collect()] == ["bigint"] * 10
+
+
+def test_types_of_odd_texts(spark):
+    kinds = {
+        "bigint": ["5", "+5", " 5\t", "-9223372036854775808"],
+        "double": ["5.", ".5", "1e5", "123e-5", "9223372036854775808", "5.0 "],
+        "boolean": ["True", "FALSE", "false"],
+        "string": ["", "1234-5", "5d", "1e", "+", "TRUE ", "\u0661", "1995-01-02"],
+    }
+    texts = [text for found in kinds.values() for text in found]
+    df = spark.createDataFrame([tuple(texts)], ", ".join(f"c{i} string" for i in range(len(texts))))
+    found = {r.column_name: r.inferred_type for r in P.column_statistics(df, "t").collect()}
+    assert [found[f"c{i}"] for i in range(len(texts))] == [kind for kind, some in kinds.items() for _ in some]
+
+
+def test_an_empty_table_has_statistics_of_all_columns(spark):
+    df = spark.createDataFrame([], "order_id string, made_at string, n int")
+    found = [(r.position, r.column_name, r.inferred_type, r.row_count, r.missing_values, r.timestamp_values, r.distinct_estimate) for r in P.column_statistics(df, "t").orderBy("position").collect()]
+    assert found == [(1, "order_id", "double", 0, 0, None, 0), (2, "made_at", "double", 0, 0, 0, None), (3, "n", "int", 0, 0, None, None)]
