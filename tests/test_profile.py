@@ -123,3 +123,25 @@ def test_an_empty_table_has_statistics_of_all_columns(spark):
     df = spark.createDataFrame([], "order_id string, made_at string, n int")
     found = [(r.position, r.column_name, r.inferred_type, r.row_count, r.missing_values, r.timestamp_values, r.distinct_estimate) for r in P.column_statistics(df, "t").orderBy("position").collect()]
     assert found == [(1, "order_id", "double", 0, 0, None, 0), (2, "made_at", "double", 0, 0, 0, None), (3, "n", "int", 0, 0, None, None)]
+
+
+def test_a_table_with_a_key_is_not_grouped_for_duplicates(spark, monkeypatch):
+    grouped = []
+    count = P.duplicate_rows
+    monkeypatch.setattr(P, "duplicate_rows", lambda df, label: grouped.append(label) or count(df, label))
+    keyed = spark.createDataFrame([("a", 1), ("b", 1)], "order_id string, n int")
+    twice = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "order_id string, n int")
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "value_id double")
+    audit = P.audit_tables({"keyed": keyed, "twice": twice, "zeros": zeros})
+    assert not grouped
+    assert {r.file_name: r.duplicate_rows for r in audit.duplicates.collect()} == {"keyed": 0, "twice": 1, "zeros": 1}
+    assert grouped == ["twice", "zeros"]
+
+
+def test_only_columns_with_invalid_values_are_searched_for_examples(spark, monkeypatch):
+    searched = []
+    search = P.invalid_timestamp_examples
+    monkeypatch.setattr(P, "invalid_timestamp_examples", lambda df, *rest: searched.append(df.columns) or search(df, *rest))
+    df = spark.createDataFrame([("2018-01-01", "soon", "x")], "made_at string, seen_at string, name string")
+    assert rows(P.audit_table(df, "t").examples, "column_name") == ["seen_at"]
+    assert searched == [["seen_at"]]
