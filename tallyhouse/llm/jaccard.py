@@ -10,8 +10,8 @@ Agreement on empty partitions alone is excluded by spare partitions; a set with
 Candidates are rows that share a signature. They are never expanded into all pairs: each is compared with the member
 of its signature that shares most signatures with others, first once per document, then wherever the components still
 differ. Signatures whose documents remain in several components are then compared across components, so no link is
-lost; of signatures with equal members one is taken, and the join itself applies the bounds of sizes and odd sketches, so
-only likely pairs leave it, once for each different set of members. Every candidate pair is checked on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
+lost; of signatures with equal members one is taken, and the join itself applies the bounds of sizes and odd sketches and
+leaves a pair to the first signature that both documents list, so likely pairs leave it about once. Every candidate pair is checked on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
 
 Defined cases: null texts and texts without words have no features and link with nothing; fewer words than the shingle
 length are one shingle; a null doc_id has no component but itself (null); rows that repeat a doc_id are one node, linked
@@ -43,6 +43,10 @@ IS_WORD = ~byte_table(" \t\n\v\f\r", wide=False)
 
 SKETCH_WORDS = 8  # 64-bit words of an odd sketch
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+LISTED = 16  # first open signatures that each document lists, so that a pair is not joined at all of those it shares
+
+# Texts of a vectorised step; shingles take some hundred times the bytes of their text for a moment.
+SHINGLE_BLOCK_BYTES = 512 << 10
 
 _U64 = np.uint64
 _STEP = _U64(0x9E3779B97F4A7C15)
@@ -182,7 +186,7 @@ def _described(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in blocks(batch, "text"):
+            for part, data, offsets in blocks(batch, "text", SHINGLE_BLOCK_BYTES):
                 row, value = shingles(data, offsets, length)
                 size, one, two = set_digests(row, value, part.num_rows)
                 sketch = odd_sketches(row, value, part.num_rows)
@@ -197,7 +201,7 @@ def _candidates(docs: DataFrame, length: int, percent: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in blocks(batch, "text"):
+            for part, data, offsets in blocks(batch, "text", SHINGLE_BLOCK_BYTES):
                 owner, signature = signatures(*shingles(data, offsets, length), part.num_rows, percent)
                 ids = part.column("doc_id").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(ids[owner], pa.int64())], ["sig", "doc"])
@@ -262,7 +266,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in blocks(batch, "left"):
+            for part, data, offsets in blocks(batch, "left", SHINGLE_BLOCK_BYTES):
                 other = text_bytes(part.column("right"))
                 hit = similar(shingles(data, offsets, length), shingles(*other, length), part.num_rows, percent)
                 yield part.select(["a", "b"]).filter(pa.array(hit))
@@ -310,6 +314,22 @@ def _different_signatures(placed: DataFrame) -> DataFrame:
     return open_.where("low < high AND n > 1").groupBy("n", "one", "two").agg(F.min("sig").alias("sig")).select("sig")
 
 
+def _pairs_across(open_: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents in different components that share an open signature and may link; few come twice.
+
+    A pair is left to a smaller signature if both documents list it among their first ones. The smallest that they share
+    has no such signature before it, so every pair is found, and the lists only save repeats of it.
+    """
+    first = open_.groupBy("doc").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LISTED).alias("listed"))
+    described = first.join(sketched.withColumnRenamed("doc_id", "doc"), "doc")
+    rows = open_.join(described, "doc")
+    left, right = rows.alias("l"), rows.alias("r")
+    earlier = F.array_min(F.array_intersect("l.listed", "r.listed")) < F.col("l.sig")
+    met = (F.col("l.sig") == F.col("r.sig")) & (F.col("l.doc") < F.col("r.doc")) & (F.col("l.doc_in") != F.col("r.doc_in"))
+    found = left.join(right, met & _can_link("l", "r", percent) & ~F.coalesce(earlier, F.lit(False)))
+    return found.select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
+
+
 def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> DataFrame:
     """Component of every document that has a link: node, component."""
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -331,10 +351,8 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     # Signatures whose documents are still apart: members other than the center, across components.
     placed = _with_components(shared, labels, "doc")
     apart = _different_signatures(placed)
-    open_ = placed.where("doc <> center").join(apart, "sig", "left_semi").join(sketched, F.col("doc") == F.col("doc_id")).drop("doc_id", "center")
-    left, right = open_.alias("l"), open_.alias("r")
-    across = left.join(right, (F.col("l.sig") == F.col("r.sig")) & (F.col("l.doc") < F.col("r.doc")) & (F.col("l.doc_in") != F.col("r.doc_in")) & _can_link("l", "r", percent))
-    across = stored(across.select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b")).distinct(), "across")
+    open_ = stored(placed.where("doc <> center").join(apart, "sig", "left_semi").select("sig", "doc", "doc_in"), "open")
+    across = stored(_pairs_across(open_, sketched, percent).distinct(), "across")
     if across.isEmpty():
         return labels
     return joined_components(labels, stored(_verified(across, docs.join(_used(across), "doc_id", "left_semi"), length, percent), "links"))
