@@ -8,7 +8,8 @@ ids from one array of token bytes and its offsets.
 
 Texts are cut into pieces as the tokenizer does, and the pieces of each distinct chunk between spaces are encoded once by a
 worker (memory is bounded by twice ``CHUNKS_KEPT`` chunks of up to ``LONG_CHUNK`` characters and ``PAIRS_KEPT`` pairs, which change the
-speed, never the result). Special tokens in a text become their ids.
+speed, never the result). Spark gives a worker to later stages as well, so a step between others (``encode_checked``) keeps fewer
+chunks and forgets them at the end of its task. Special tokens in a text become their ids.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; ids outside the vocabulary raise;
 an input column with the name of an added one is replaced.
@@ -34,6 +35,7 @@ from tallyhouse.llm.session import others
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNKS_KEPT = 300_000  # in each of two halves
+STEP_CHUNKS_KEPT = 75_000  # the same for a step between others
 PAIRS_KEPT = 400_000
 LONG_CHUNK = 200
 # Signs that are one piece behind a word.
@@ -191,6 +193,7 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.kept = CHUNKS_KEPT
         self.vocabulary = Vocabulary(path)
         self.pattern = regex.compile(PIECE)
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.vocabulary.special, key=len, reverse=True)) + ")") if self.vocabulary.special else None
@@ -212,13 +215,20 @@ class Encoder(dict):
             else:
                 got = self._joined([" " + word])
         if len(chunk) <= LONG_CHUNK:
-            if len(self) >= CHUNKS_KEPT:
+            if len(self) >= self.kept:
                 # Chunks that are used again come back from the older half; the others go with it.
                 self.older = dict(self)
                 self.clear()
             self[chunk] = got
         return got
 
+    def forget(self) -> None:
+        """Drop all chunks and pairs; the vocabulary stays."""
+        self.clear()
+        self.older = {}
+        self.stops = {}
+        self.vocabulary.pairs.clear()
+
     def _stops(self, stops: str) -> tuple[bytes, str]:
         got = self.stops.get(stops)
         if got is None:
@@ -320,15 +330,20 @@ def encode_checked(docs: DataFrame, text_column: str = "text", vocabulary: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary)
-        for batch in batches:
-            texts = batch.column(text_column).to_pylist()
-            ids = [tool.encode(text) for text in texts]
-            columns = [
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
-                pa.array([tool.decode(x) == (text or "") for x, text in zip(ids, texts, strict=True)], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+        tool.kept = STEP_CHUNKS_KEPT
+        try:
+            for batch in batches:
+                texts = batch.column(text_column).to_pylist()
+                ids = [tool.encode(text) for text in texts]
+                columns = [
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                    pa.array([tool.decode(x) == (text or "") for x, text in zip(ids, texts, strict=True)], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+        finally:
+            tool.forget()
+            tool.kept = CHUNKS_KEPT
 
     return docs.mapInArrow(run, schema)
 
