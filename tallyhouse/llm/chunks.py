@@ -1,16 +1,18 @@
-"""Token ids of whole texts by way of their space-separated chunks, each encoded once per worker.
+"""Token ids of whole texts by way of their space-separated chunks.
 
 A byte-level vocabulary cuts a text before every space that stands next to something else than white space, and a
 sentence-piece vocabulary whose pieces hold no inner word mark cuts it before every single space. Both then give a
 chunk the same ids wherever it stands. Texts where that does not hold (runs of spaces, special tokens) are encoded whole by the
-tokenizer itself; so are very long chunks. The memory of chunks is bounded by ``CHUNKS_KEPT`` and changes the speed,
-never the result.
+tokenizer itself; so are very long chunks. All other chunks go through the faster byte-level encoder, text by text. Those
+of sentence pieces are encoded once per worker; that memory is bounded by ``CHUNKS_KEPT`` and changes the speed, never the
+result.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from itertools import chain
 
@@ -25,6 +27,7 @@ from tallyhouse.llm.bpe import CHUNKS_KEPT, LONG_CHUNK, OPEN_SPACE, byte_alphabe
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
+LONG_CHUNKS = re.compile(rf"( [^ ]{{{LONG_CHUNK + 1},}})")
 
 
 def file_of(vocabulary: str) -> str:
@@ -32,11 +35,10 @@ def file_of(vocabulary: str) -> str:
     return vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
 
 
-class ByteChunks(dict):
-    """Chunks without the space before them -> packed ids of the chunk with that space, byte-level BPE."""
+class ByteChunks:
+    """Ids of texts by a byte-level BPE vocabulary; what lies between very long chunks is encoded in one call."""
 
     def __init__(self, path: str, plain_specials: bool):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the workers of an executor share its cores already
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
@@ -50,7 +52,7 @@ class ByteChunks(dict):
         ranks = {bytes(alphabet[c] for c in token): i for token, i in content["model"]["vocab"].items() if token not in added}
         self.fast = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         size = max([*ranks.values(), *[x["id"] for x in content["added_tokens"]]]) + 1
-        self.width, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
+        self.width = "<u2" if size <= 1 << 16 else "<u4"
         self.lengths = np.zeros(size, np.int64)
         for token, i in ranks.items():
             self.lengths[i] = len(token)
@@ -58,47 +60,32 @@ class ByteChunks(dict):
         for token, i in ranks.items():
             self.tokens[i] = token
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = array(self.code, self.fast.encode_ordinary(" " + chunk)).tobytes() if len(chunk) <= LONG_CHUNK else self._whole(" " + chunk)
-        if len(chunk) <= LONG_CHUNK:
-            self[chunk] = ids
-        return ids
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode new chunks in one call: joined by spaces they keep their ids, which are parted by their bytes."""
-        new = [c for c in chunks if c not in self and 0 < len(c) <= LONG_CHUNK and not c[0].isspace()]
-        if len(self) + len(new) > CHUNKS_KEPT:
-            self.clear()
-            new = [c for c in chunks if 0 < len(c) <= LONG_CHUNK and not c[0].isspace()]
-        if not new:
-            return
-        ids = np.array(self.fast.encode_ordinary(" " + " ".join(new)), self.width)
-        _parted(self, new, ids, self.lengths)
-
-    def _whole(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
 
     def _separable(self, spaced: str) -> bool:
-        """Whether a space and the chunks behind it may be encoded one by one."""
+        """Whether a space and the chunks behind it keep their ids wherever they are cut."""
         return not OPEN_SPACE.search(spaced) and not any(s in spaced for s in self.specials)
 
+    def _spaced(self, spaced: str) -> list[np.ndarray]:
+        """Ids of separable chunks with a space before each; only the tokenizer itself encodes very long ones."""
+        parts = LONG_CHUNKS.split(spaced)
+        return [self._whole(part) if i % 2 else self.fast.encode_to_numpy(part).astype(self.width) for i, part in enumerate(parts) if part]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a text."""
+        text = text or ""
+        first, space, rest = text.partition(" ")
+        plain = space and first and not first[-1].isspace() and self._separable(" " + rest) and not any(s in first for s in self.specials)
+        return np.concatenate([self._whole(first), *self._spaced(" " + rest)]) if plain else self._whole(text)
+
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of texts."""
-        parted: list[tuple[str, list[str]] | None] = []
-        for text in texts:
-            first, space, rest = (text or "").partition(" ")
-            plain = space and first and not first[-1].isspace() and self._separable(" " + rest) and not any(s in first for s in self.specials)
-            parted.append((first, rest.split(" ")) if plain else None)
-        self.learn(set().union(*[part[1] for part in parted if part]))
-        packed = [self._whole(text or "") if part is None else self._whole(part[0]) + b"".join(map(self.__getitem__, part[1])) for text, part in zip(texts, parted, strict=True)]
-        return [np.frombuffer(ids, self.width) for ids in packed]
+        return [self.encode(text) for text in texts]
 
     def encode_spaced(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts with a space before each."""
-        parted = [text.split(" ") if self._separable(" " + text) else None for text in texts]
-        self.learn(set().union(*[part for part in parted if part]))
-        packed = [self._whole(" " + text) if part is None else b"".join(map(self.__getitem__, part)) for text, part in zip(texts, parted, strict=True)]
-        return [np.frombuffer(ids, self.width) for ids in packed]
+        return [np.concatenate(self._spaced(" " + text)) if self._separable(" " + text) else self._whole(" " + text) for text in texts]
 
 
 def _parted(known: dict[str, bytes], chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> bool:
