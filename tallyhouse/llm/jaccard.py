@@ -11,7 +11,8 @@ Candidates are rows that share a signature. They are never expanded into all pai
 of its signature that shares most signatures with others, first once per document, then wherever the components still
 differ. Signatures whose documents remain in several components are then compared across components, so no link is
 lost; of signatures with equal members one is taken, and the join itself applies the bounds of sizes and odd sketches and
-leaves a pair to the first signature that both documents list, so likely pairs leave it about once. Every candidate pair is checked on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
+leaves a pair to the first signature that both documents list, so likely pairs leave it about once. Sets of more features than
+a sketch has bits are then told apart by their counts per hash bucket, another exact bound. Every candidate pair is checked on its whole sets. Equal sets are grouped by a 128-bit hash and only meet through one of them per block.
 
 Defined cases: null texts and texts without words have no features and link with nothing; fewer words than the shingle
 length are one shingle; a null doc_id has no component but itself (null); rows that repeat a doc_id are one node, linked
@@ -43,6 +44,8 @@ IS_WORD = ~byte_table(" \t\n\v\f\r", wide=False)
 
 SKETCH_WORDS = 8  # 64-bit words of an odd sketch
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+COUNT_BUCKETS = 512  # of the counts that sets beyond the reach of the sketch have besides
+FILTER_BITS = 1 << 24  # bits of the mask of ids that keeps other texts out of a shuffle: 4 MB at most
 LISTED = 16  # first open signatures that each document lists, so that a pair is not joined at all of those it shares
 
 # Texts of a vectorised step; shingles take some hundred times the bytes of their text for a moment.
@@ -155,6 +158,31 @@ def odd_sketches(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), 1).view(np.int64).reshape(n, SKETCH_WORDS)
 
 
+def bucket_counts(row: np.ndarray, value: np.ndarray, n: int) -> list[bytes | None]:
+    """Per row of more features than a sketch has bits, the features of each hash bucket, up to 255; else nothing.
+
+    Each feature that only one of two sets has changes one count by one, so the counts of two sets differ by no more in
+    sum than the sets do; stopping at 255 only lowers that sum.
+    """
+    large = np.bincount(row, minlength=n) > 64 * SKETCH_WORDS
+    number = np.cumsum(large) - 1
+    inside = large[row]
+    bucket = (mixed(value[inside], 10) % _U64(COUNT_BUCKETS)).astype(np.int64)
+    size = int(large.sum()) * COUNT_BUCKETS
+    counts = np.minimum(np.bincount(number[row[inside]] * COUNT_BUCKETS + bucket, minlength=size), 255).astype(np.uint8).reshape(-1, COUNT_BUCKETS)
+    return [counts[number[i]].tobytes() if large[i] else None for i in range(n)]
+
+
+def counts_allow(left: pa.Array, right: pa.Array, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the counts of two sets allow them to reach the threshold, by the sum of their sizes; true without counts."""
+    known = np.flatnonzero(left.is_valid().to_numpy(zero_copy_only=False) & right.is_valid().to_numpy(zero_copy_only=False))
+    allowed = np.ones(len(left), bool)
+    for some in np.array_split(known, len(known) // 4096 + 1):
+        one, two = (text_bytes(side.take(pa.array(some)))[0].reshape(-1, COUNT_BUCKETS).astype(np.int64) for side in (left, right))
+        allowed[some] = (100 + percent) * np.abs(one - two).sum(1) <= (100 - percent) * sizes[some]
+    return allowed
+
+
 def signatures(row: np.ndarray, value: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and signature of all sets of a block; of equal sets only the first emits any."""
     size, one, two = set_digests(row, value, n)
@@ -181,7 +209,7 @@ def signatures(row: np.ndarray, value: np.ndarray, n: int, percent: int) -> tupl
 
 
 def _described(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, n_shingles, the set's two hashes and its odd sketch, for every row."""
+    """doc_id, n_shingles, the set's two hashes, its odd sketch and, if it is large, its counts, for every row."""
     names = ["doc_id", "n_shingles", "one", "two", *SKETCH]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +219,10 @@ def _described(docs: DataFrame, length: int) -> DataFrame:
                 size, one, two = set_digests(row, value, part.num_rows)
                 sketch = odd_sketches(row, value, part.num_rows)
                 columns = [size, one.view(np.int64), two.view(np.int64), *sketch.T]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns]], names)
+                counts = pa.array(bucket_counts(row, value, part.num_rows), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns], counts], [*names, "counts"])
 
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", counts binary")
 
 
 def _candidates(docs: DataFrame, length: int, percent: int) -> DataFrame:
@@ -261,6 +290,18 @@ def _used(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of the given distinct ids. A mask with a bit per hash of an id keeps most other texts out of the shuffle."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")
+    masks = ids.select(slot.alias("_slot")).groupBy(F.expr("_slot div 64").alias("_word")).agg(F.bit_or(bit).alias("_mask"))
+    marked = docs.withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64")).join(F.broadcast(masks), "_word")
+    near = marked.where("getbit(_mask, CAST(_slot % 64 AS INT)) = 1").select(*docs.columns)
+    # These ids grow with the documents, so they are merged at every size rather than broadcast at small ones. The join is not
+    # a semi join, as Spark would move that in front of the mask.
+    return near.join(ids.hint("merge"), "doc_id").select(*docs.columns)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
 
@@ -330,6 +371,20 @@ def _pairs_across(open_: DataFrame, sketched: DataFrame, percent: int) -> DataFr
     return found.select(F.col("l.doc").alias("a"), F.col("r.doc").alias("b"))
 
 
+def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) that the counts of large sets allow; all others stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            allowed = counts_allow(batch.column("left"), batch.column("right"), sizes, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(allowed))
+
+    side = lambda name, counts: sets.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("counts").alias(counts))
+    joined = pairs.distinct().join(side("a", "left"), "a").join(side("b", "right"), "b")
+    return joined.select("a", "b", "n_a", "n_b", "left", "right").mapInArrow(run, "a long, b long").distinct()
+
+
 def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> DataFrame:
     """Component of every document that has a link: node, component."""
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -339,8 +394,7 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     shared = stored(_with_centers(stored(_candidates(docs, length, percent), "signatures")), "candidates")
     pairs = shared.where("doc <> center").groupBy(F.col("doc").alias("a"), F.col("center").alias("b")).agg(F.count("*").alias("n"))
     pairs = stored(pairs.join(_possible(pairs.select("a", "b"), sketched, percent), ["a", "b"]), "pairs")
-    # These ids grow with the documents, so they are merged at every size rather than broadcast at small ones.
-    texts = stored(docs.join(_used(pairs).hint("merge"), "doc_id", "left_semi"), "texts")
+    texts = stored(_texts_of(docs, _used(pairs)), "texts")
     # The center that shares most signatures, once per document.
     first = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     edges = stored(_verified(first, texts, length, percent).union(copies), "links")
@@ -352,10 +406,10 @@ def links(docs: DataFrame, described: DataFrame, length: int, percent: int) -> D
     placed = _with_components(shared, labels, "doc")
     apart = _different_signatures(placed)
     open_ = stored(placed.where("doc <> center").join(apart, "sig", "left_semi").select("sig", "doc", "doc_in"), "open")
-    across = stored(_pairs_across(open_, sketched, percent).distinct(), "across")
+    across = stored(_counted(_pairs_across(open_, sketched, percent), sets.select("doc_id", "n_shingles", "counts"), percent), "across")
     if across.isEmpty():
         return labels
-    return joined_components(labels, stored(_verified(across, docs.join(_used(across), "doc_id", "left_semi"), length, percent), "links"))
+    return joined_components(labels, stored(_verified(across, _texts_of(docs, _used(across)), length, percent), "links"))
 
 
 def grouped(docs: DataFrame, length: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
