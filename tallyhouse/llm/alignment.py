@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.chunks import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_chunks, piece_chunks
 from tallyhouse.llm.session import prepare, stored
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 END_BITS = 40
 B_BITS = 32
 PER_DOCUMENT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -171,7 +171,7 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Slices of rows of about ``BLOCK_BYTES`` of text."""
     begin = size = 0
     for i, text in enumerate(texts):
-        size += len(text or "")
+        size += len((text or "").encode())
         if size >= BLOCK_BYTES:
             yield begin, i + 1
             begin, size = i + 1, 0
