@@ -54,8 +54,12 @@ _PARTIALS = {
     "dated_deliveries": lambda: F.count_if(dated_delivery()),
     "on_time_deliveries": lambda: F.count_if(dated_delivery() & on_time()),
     "delivered_gmv": lambda: F.sum(F.when(delivered(), F.col("item_revenue"))),
+    # As decimals: some seven million deliveries of two weeks are more microseconds than a bigint holds.
     "delivery_time": lambda: F.sum(
-        F.when(delivered(), elapsed_microseconds("order_purchase_timestamp", "order_delivered_customer_date"))
+        F.when(
+            delivered(),
+            elapsed_microseconds("order_purchase_timestamp", "order_delivered_customer_date").cast("decimal(19,0)"),
+        )
     ),
     "timed_deliveries": lambda: F.count_if(delivered() & F.col("order_delivered_customer_date").isNotNull()),
     "review_total": lambda: review_total(),
@@ -97,7 +101,8 @@ def on_time_delivery_rate_pct() -> Column:
 
 
 def average_delivery_days() -> Column:
-    return round_ratio(F.col("delivery_time"), F.col("timed_deliveries") * MICROSECONDS_PER_DAY).alias("average_delivery_days")
+    possible = F.col("timed_deliveries").cast("decimal(19,0)") * F.lit(MICROSECONDS_PER_DAY)
+    return round_ratio(F.col("delivery_time"), possible).alias("average_delivery_days")
 
 
 def average_review_score() -> Column:

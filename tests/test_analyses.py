@@ -186,3 +186,21 @@ def test_rates_are_rounded_once(spark):
     halves = spark.createDataFrame([("0.01", 2), ("0.03", 2), ("2.50", 1000)], "a string, b bigint")
     money = F.col("a").cast("decimal(14,2)")
     assert [row[0] for row in halves.select(round_ratio(money, F.col("b"), places=2)).collect()] == [0.01, 0.02, 0.0]
+
+
+def test_delivery_times_beyond_a_bigint_of_microseconds(spark):
+    orders = spark.range(60).selectExpr(
+        "concat('o', id) AS order_id", "concat('c', id % 7) AS customer_id", "'delivered' AS order_status",
+        "TIMESTAMP_NTZ'0001-01-01' AS order_purchase_timestamp", "TIMESTAMP_NTZ'9999-12-31' AS order_delivered_customer_date",
+        "CAST(NULL AS timestamp_ntz) AS order_estimated_delivery_date",
+    )
+    tables = {
+        "orders": orders,
+        "customers": spark.range(7).selectExpr("concat('c', id) AS customer_id", "concat('u', id % 3) AS customer_unique_id"),
+        "order_items": spark.createDataFrame([], "order_id string, seller_id string, price decimal(14,2), freight_value decimal(14,2)"),
+        "order_reviews": spark.createDataFrame([], "order_id string, review_score int"),
+    }
+    days = (dt.date(9999, 12, 31) - dt.date(1, 1, 1)).days
+    assert days * 86_400_000_000 * 60 > 2**63
+    assert rows(A.executive_summary(tables), "average_delivery_days") == [days]
+    assert rows(A.monthly_performance(tables), "average_delivery_days") == [days]
