@@ -10,6 +10,7 @@ import pytest
 from conftest import rows
 
 from tallyhouse import session
+from tallyhouse.operators import quality as Q
 from tallyhouse.plans import audit, catalog
 from tallyhouse.session import RELEASE, released_shuffles, releasing_shuffles
 from tallyhouse.sources.csv import discover_csv_files, load_csv
@@ -91,3 +92,21 @@ def test_the_audit_leaves_its_reports_only(spark, scratch):
     found = {r.table_name: r.row_count for r in catalog.CATALOG["snk_02_audit_report_set"](Testbed(spark, FOLDER)).collect()}
     assert set(found) == set(audit.REPORTS) - {"audit_summary"} and found["table_overview"] == 9
     assert [p.name.split("-")[0] for p in scratch.iterdir()] == ["reports"]
+
+
+def test_parsed_sources_go_before_the_gates_of_cleaned_tables(spark, scratch, monkeypatch):
+    kept, facts = [], Q.shared_key_facts
+
+    def watched(tables, *args):
+        (landing,) = scratch.glob("landing-*")
+        kept.append({p.name for p in landing.iterdir() if not p.name.startswith((".", "_"))})
+        return facts(tables, *args)
+
+    monkeypatch.setattr(Q, "shared_key_facts", watched)
+    folder, run = catalog.cleaning_run(Testbed(spark, FOLDER))
+    assert len(kept) == 2 and len(kept[0]) == 9 and not kept[1]
+    assert {r.table_name: r.input_rows for r in run.lineage.collect()}["customers"] == Testbed(spark, FOLDER)["customer"].count()
+    assert [entry["source_sha256"] is None for entry in run.manifest["tables"]].count(True) == 1
+    assert {p.name.split("-")[0] for p in scratch.iterdir()} == {"run", "median"}
+    (version,) = (scratch / os.path.basename(folder) / "processed" / "versions").glob("[!.]*")
+    assert all(p.name.endswith(".zstd.parquet") for p in version.rglob("part-*"))
